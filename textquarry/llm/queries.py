@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from textquarry.llm import bpe_trie, sharding, token_counts
+from textquarry.llm import bpe_trie, sharding, suffix_dedup, token_counts
 from textquarry.session import table
 
 BYTE_BPE = "byte_bpe_50k.json"
@@ -23,5 +23,9 @@ def op6_hash_tree_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard(table(spark, sf_dir, "documents"), sharding.layout(24), sharding.layout(25))
 
 
-QUERIES = {f.__name__: f for f in (op1_token_counts, op2_bpe_trie, op6_hash_tree_shards)}
+def op10_bucket_pointer_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.remove_repeats(table(spark, sf_dir, "documents")).drop("kept")
+
+
+QUERIES = {f.__name__: f for f in (op1_token_counts, op2_bpe_trie, op6_hash_tree_shards, op10_bucket_pointer_dedup)}
 ORACLES: dict[str, str] = {}
