@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from textquarry.llm import bpe_trie, sharding, suffix_dedup, token_counts
+from textquarry.llm import bpe_trie, langid, sharding, simhash, suffix_dedup, token_counts
 from textquarry.session import table
 
 BYTE_BPE = "byte_bpe_50k.json"
@@ -19,13 +19,22 @@ def op2_bpe_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_trie.round_trip(table(spark, sf_dir, "documents"), public_tokenizers.path(BYTE_BPE))
 
 
+def op5_cross_parsing_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return langid.identify(docs, langid.CrossParser(langid.sample(docs)))
+
+
 def op6_hash_tree_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard(table(spark, sf_dir, "documents"), sharding.layout(24), sharding.layout(25))
 
 
+def op7_covering_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op10_bucket_pointer_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.remove_repeats(table(spark, sf_dir, "documents")).drop("kept")
 
 
-QUERIES = {f.__name__: f for f in (op1_token_counts, op2_bpe_trie, op6_hash_tree_shards, op10_bucket_pointer_dedup)}
+QUERIES = {f.__name__: f for f in (op1_token_counts, op2_bpe_trie, op5_cross_parsing_langid, op6_hash_tree_shards, op7_covering_simhash, op10_bucket_pointer_dedup)}
 ORACLES: dict[str, str] = {}
