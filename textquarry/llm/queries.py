@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from textquarry.llm import bpe_trie, langid, sharding, simhash, suffix_dedup, token_counts
+from textquarry.llm import bpe_trie, decontam, langid, sharding, simhash, suffix_dedup, token_counts
 from textquarry.session import table
 
 BYTE_BPE = "byte_bpe_50k.json"
@@ -32,9 +32,13 @@ def op7_covering_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op9_minhash_decontam(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam.matches(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("text_hash")
+
+
 def op10_bucket_pointer_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.remove_repeats(table(spark, sf_dir, "documents")).drop("kept")
 
 
-QUERIES = {f.__name__: f for f in (op1_token_counts, op2_bpe_trie, op5_cross_parsing_langid, op6_hash_tree_shards, op7_covering_simhash, op10_bucket_pointer_dedup)}
-ORACLES: dict[str, str] = {}
+QUERIES = {f.__name__: f for f in (op1_token_counts, op2_bpe_trie, op5_cross_parsing_langid, op6_hash_tree_shards, op7_covering_simhash, op9_minhash_decontam, op10_bucket_pointer_dedup)}
+ORACLES: dict[str, str] = {"op9_minhash_decontam": decontam.ORACLE}
