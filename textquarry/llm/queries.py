@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from textquarry.llm import bpe_trie, decontam, langid, sharding, simhash, suffix_dedup, token_counts
+from textquarry.llm import bpe_trie, decontam, langid, pii, sharding, simhash, suffix_dedup, token_counts
 from textquarry.session import table
 
 BYTE_BPE = "byte_bpe_50k.json"
@@ -32,6 +33,16 @@ def op7_covering_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+#: For these queries only; a real key comes from a secret store.
+PII_KEY = "textquarry-demo-key"
+
+
+def op8_feistel_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    done = pii.pseudonymise(docs, PII_KEY)
+    return done.select("doc_id", "text", *[F.size(F.filter("pii", lambda m, k=k: m["kind"] == k.name)).alias(f"n_{k.name}") for k in pii.KINDS])
+
+
 def op9_minhash_decontam(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.matches(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("text_hash")
 
@@ -40,5 +51,5 @@ def op10_bucket_pointer_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.remove_repeats(table(spark, sf_dir, "documents")).drop("kept")
 
 
-QUERIES = {f.__name__: f for f in (op1_token_counts, op2_bpe_trie, op5_cross_parsing_langid, op6_hash_tree_shards, op7_covering_simhash, op9_minhash_decontam, op10_bucket_pointer_dedup)}
+QUERIES = {f.__name__: f for f in (op1_token_counts, op2_bpe_trie, op5_cross_parsing_langid, op6_hash_tree_shards, op7_covering_simhash, op8_feistel_pseudonyms, op9_minhash_decontam, op10_bucket_pointer_dedup)}
 ORACLES: dict[str, str] = {"op9_minhash_decontam": decontam.ORACLE}
