@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from textquarry.llm import bpe_trie, decontam, langid, pii, sharding, simhash, suffix_dedup, token_counts
+from textquarry.llm import bpe_trie, decontam, langid, pii, quality_llr, sharding, simhash, suffix_dedup, token_counts, warc
 from textquarry.session import table
 
 BYTE_BPE = "byte_bpe_50k.json"
@@ -20,6 +20,16 @@ def op2_bpe_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_trie.round_trip(table(spark, sf_dir, "documents"), public_tokenizers.path(BYTE_BPE))
 
 
+def op3_warc_derivatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.derive(warc.responses(table(spark, sf_dir, "pages"))).drop("headers", "date", "content_type")
+
+
+def op4_quality_llr(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    trusted = table(spark, sf_dir, "labels").where("quality = 1 AND toxic = 0")
+    return quality_llr.judge(docs, quality_llr.ratios(docs, trusted))
+
+
 def op5_cross_parsing_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return langid.identify(docs, langid.CrossParser(langid.sample(docs)))
@@ -51,5 +61,5 @@ def op10_bucket_pointer_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.remove_repeats(table(spark, sf_dir, "documents")).drop("kept")
 
 
-QUERIES = {f.__name__: f for f in (op1_token_counts, op2_bpe_trie, op5_cross_parsing_langid, op6_hash_tree_shards, op7_covering_simhash, op8_feistel_pseudonyms, op9_minhash_decontam, op10_bucket_pointer_dedup)}
-ORACLES: dict[str, str] = {"op9_minhash_decontam": decontam.ORACLE}
+QUERIES = {f.__name__: f for f in (op1_token_counts, op2_bpe_trie, op3_warc_derivatives, op4_quality_llr, op5_cross_parsing_langid, op6_hash_tree_shards, op7_covering_simhash, op8_feistel_pseudonyms, op9_minhash_decontam, op10_bucket_pointer_dedup)}
+ORACLES: dict[str, str] = {"op3_warc_derivatives": warc.ORACLE, "op9_minhash_decontam": decontam.ORACLE}
