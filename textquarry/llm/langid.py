@@ -10,8 +10,10 @@ from __future__ import annotations
 
 import math
 from collections import Counter
+from collections.abc import Iterator
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -24,6 +26,8 @@ LETTERS = 96
 #: Texts are parsed in blocks of so many symbols, a phrase ending with its block; many blocks are parsed at once.
 BLOCK = 1024
 UND = "und"
+#: Rows whose texts are parsed at once when whole rows are filtered.
+SLICE_ROWS = 500
 
 
 def held_out(doc_id: str = "doc_id"):
@@ -181,3 +185,19 @@ def identify(docs: DataFrame, parser: CrossParser, id_col: str = "doc_id", text_
 
     found = map_texts(keyed_text(docs, id_col, text_col), make, "doc_id bigint, lang_pred string, score double")
     return found.select("doc_id", held_out().alias("held_out"), "lang_pred", "score")
+
+
+def keep_identified(docs: DataFrame, parser: CrossParser, text_col: str = "text") -> DataFrame:
+    """docs without the rows whose language is UND; rows are dropped where they are read, all columns stay."""
+    held = docs.sparkSession.sparkContext.broadcast(parser)
+    at = docs.columns.index(text_col)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model = held.value
+        table = model.codes()
+        for batch in batches:
+            for i in range(0, batch.num_rows, SLICE_ROWS):
+                part = batch.slice(i, SLICE_ROWS)
+                yield part.filter(pa.array([lang != UND for lang, _ in model.predict(part.column(at).to_pylist(), table)]))
+
+    return docs.mapInArrow(run, docs.schema)

@@ -77,6 +77,13 @@ def links(fps: DataFrame) -> DataFrame:
     return shared.select(F.array_min("fps").alias("a"), F.explode("fps").alias("b")).where("a != b").distinct()
 
 
+def classes_of(found: DataFrame) -> DataFrame:
+    """(fp, root) of each fingerprint of found (fp, ...); root is the least fingerprint of its class."""
+    nodes = durable(found.select("fp").distinct())
+    roots = durable(components(links(nodes)))
+    return durable(nodes.join(roots, nodes["fp"] == roots["node"], "left").select("fp", F.coalesce("root", "fp").alias("root")))
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, fingerprint (16 hex digits), component_id of every row.
 
@@ -87,10 +94,29 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     fingerprints, however many, are one node of the graph.
     """
     found = durable(fingerprints(docs, id_col, text_col))
-    nodes = durable(found.groupBy("fp").agg(F.min("doc_id").alias("least")))
-    roots = durable(components(links(nodes)))
-    inside = roots.join(nodes, roots["node"] == nodes["fp"]).select("fp", "root", "least")
-    named = inside.groupBy("root").agg(F.min("least").alias("component_id"))
-    linked = inside.join(named, "root").select("fp", "component_id")
-    classes = durable(nodes.join(linked, "fp", "left").select("fp", F.coalesce("component_id", "least").alias("component_id")))
-    return found.join(classes, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+    classes = classes_of(found)
+    least = found.groupBy("fp").agg(F.min("doc_id").alias("least"))
+    named = least.join(classes, "fp").groupBy("root").agg(F.min("least").alias("component_id"))
+    names = durable(classes.join(named, "root").select("fp", "component_id"))
+    return found.join(names, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """docs with one row left of each class: the one with the least id (nulls last), then the least hash of its text.
+
+    Columns stay as they are. Of rows that agree in id and text, one stays.
+    """
+    key = F.xxhash64(F.col(text_col).cast("string"))
+    make = lambda: lambda ids, texts: {"doc_id": ids, "fp": [signed(fingerprint(t)) for t in texts]}
+    # A text's hash travels in its id's place beside the id, so that rows are found again whatever their ids.
+    rows = docs.select(F.struct(F.col(id_col).cast("bigint").alias("doc_id"), key.alias("text_hash")).alias("row"), F.col(text_col).cast("string").alias("text"))
+    found = durable(map_texts(rows.select(F.to_json("row", {"ignoreNullFields": "false"}).alias("doc_id"), "text"), make, "doc_id string, fp bigint").select(F.from_json("doc_id", "doc_id bigint, text_hash bigint").alias("row"), "fp").select("row.*", "fp"))
+    rank = F.struct(F.col("doc_id").isNull(), "doc_id", "text_hash")
+    first = found.groupBy("fp").agg(F.min(rank).alias("first"))
+    chosen = first.join(classes_of(found), "fp").groupBy("root").agg(F.min("first").alias("first")).select("first.doc_id", "first.text_hash")
+    times = found.groupBy("doc_id", "text_hash").agg(F.count("*").alias("times"))
+    chosen = durable(chosen.join(times, chosen["doc_id"].eqNullSafe(times["doc_id"]) & (chosen["text_hash"] == times["text_hash"])).select(chosen["doc_id"].alias("__id"), chosen["text_hash"].alias("__hash"), "times"))
+    kept = docs.join(chosen, F.col(id_col).cast("bigint").eqNullSafe(F.col("__id")) & (key == F.col("__hash")))
+    # Only rows that are there several times have to meet.
+    again = kept.where("times > 1").dropDuplicates(["__id", "__hash"])
+    return kept.where("times = 1").unionByName(again).select(*docs.columns)
