@@ -5,6 +5,7 @@ from __future__ import annotations
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 #: Host to label. Fixed values.
 SITE_TYPES = {"facebook.com": "Facebook", "instagram.com": "Instagram", "twitter.com": "Twitter", "linkedin.com": "LinkedIn", "youtube.com": "YouTube", "tiktok.com": "TikTok", "soundcloud.com": "SoundCloud", "bandcamp.com": "Bandcamp"}
@@ -48,7 +49,7 @@ def resolve(base: Column, href: Column) -> Column:
     )
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def resolve_any(base: pd.Series, href: pd.Series) -> pd.Series:
     """As resolve, with dot segments; in Python, for the few links that have them."""
     from urllib.parse import urljoin

@@ -66,7 +66,8 @@ def correlations(df: DataFrame, columns: list[str]) -> DataFrame:
     def corr(a: Column, b: Column) -> Column:
         both = a.isNotNull() & b.isNotNull()
         x, y = F.when(both, a.cast("double")), F.when(both, b.cast("double"))
-        return F.when((F.stddev_pop(x) > 0) & (F.stddev_pop(y) > 0), F.corr(x, y))
+        # Not F.corr, which divides by zero where one of them is constant.
+        return F.covar_pop(x, y) / F.nullif(F.stddev_pop(x) * F.stddev_pop(y), F.lit(0.0))
 
     row = df.agg(*[corr(F.col(a), F.col(b)).alias(f"c{i}") for i, (a, b) in enumerate(pairs)])
     return row.select(F.explode(F.array(*[F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), F.round(f"c{i}", 6).alias("corr")) for i, (a, b) in enumerate(pairs)])).alias("r")).select("r.*")

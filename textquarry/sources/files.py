@@ -11,7 +11,7 @@ from textquarry.functions.encoding import decode_any
 
 def read_texts(spark: SparkSession, folder: str, pattern: str = "*.txt") -> DataFrame:
     """(file_name, text) of the files of a folder; pattern '*' for all of them."""
-    return spark.read.option("wholetext", True).option("pathGlobFilter", pattern).text(folder).select(F.col("_metadata.file_name").alias("file_name"), F.col("value").alias("text"))
+    return spark.read.option("pathGlobFilter", pattern).text(folder, wholetext=True).select(F.col("_metadata.file_name").alias("file_name"), F.col("value").alias("text"))
 
 
 def read_bytes(spark: SparkSession, folder: str, pattern: str = "*") -> DataFrame:
