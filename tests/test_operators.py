@@ -1,6 +1,7 @@
 """Operators, sources and sinks on small frames."""
 
 import json
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -11,6 +12,16 @@ from textquarry.sources import files
 from textquarry.streaming import ingest
 
 
+def lcs(a, b):
+    row = [0] * (len(b) + 1)
+    for x in a:
+        new = [0]
+        for j, y in enumerate(b):
+            new.append(row[j] + 1 if x == y else max(row[j + 1], new[j]))
+        row = new
+    return row[-1]
+
+
 def values(df, *by):
     return [tuple(r) for r in df.orderBy(*by).collect()]
 
@@ -57,6 +68,25 @@ def test_fuzzy(spark):
     assert dict((a, m) for a, m, _ in values(joins.fuzzy_best(left, right, "a", "match", 60), "a"))["Apple Inc."] == "Apple"
 
 
+@pytest.mark.parametrize("least", [95, 80, 50])
+def test_fuzzy_misses_nothing(spark, least):
+    r = random.Random(least)
+    names = ["".join(r.choice("abc d") for _ in range(r.randint(1, 24))) for _ in range(60)]
+    for n in names[:40]:
+        for _ in range(r.randint(1, 3)):
+            i = r.randrange(len(n))
+            n = n[:i] + r.choice(["", "x", n[i] + "e"]) + n[i + 1 :] or "z"
+        names.append(n)
+    left, right = names[::2], names[1::2]
+    sort = lambda n: " ".join(sorted(n.lower().split()))
+    want = {}
+    for a in set(left):
+        scores = sorted((-(100 if sort(a) == sort(b) else int(200 * lcs(sort(a), sort(b)) / max(1, len(sort(a)) + len(sort(b))) + 0.5)), b) for b in set(right))
+        want[a] = (scores[0][1], -scores[0][0]) if -scores[0][0] >= least else (None, None)
+    got = joins.fuzzy_best(spark.createDataFrame([(n,) for n in left], "a string"), spark.createDataFrame([(n,) for n in right], "b string"), "a", "b", least)
+    assert {x["a"]: (x["match"], x["score"]) for x in got.collect()} == want
+
+
 def test_suffixes(spark):
     a = spark.createDataFrame([(1, "x")], "k int, v string")
     assert joins.left_join_suffixed(a, a, "k").columns == ["k", "v_x", "v_y"]

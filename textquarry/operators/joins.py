@@ -43,26 +43,37 @@ def upsert(table: DataFrame, rows: DataFrame, key: str) -> DataFrame:
 def fuzzy_best(left: DataFrame, right: DataFrame, left_on: str, right_on: str, least: int = 95) -> DataFrame:
     """(left_on, match, score) of each distinct left name: its best right name by token-sort ratio, null below ``least``.
 
-    Names equal once sorted meet in a hash join. Others can only reach
-    ``least`` if their lengths are close: they meet by blocks of a
-    logarithmic length scale, and by counts of single characters, before the
-    subsequence is worked out. Of equal scores the first right name wins.
+    Names equal once sorted meet in a hash join. For the others, a score of
+    ``least`` bounds the characters that may be inserted and deleted, and so
+    the other name's length. A name cut into one piece more than that has a
+    piece that no change touches, which stands in the other name, shifted by
+    no more than the bound (Li et al., 2011): names meet on pieces, no pair
+    of ``least`` or more is lost, and only those that meet are scored. Of
+    equal scores the first right name wins.
     """
-    names = left.select(left_on).where(F.col(left_on).isNotNull()).distinct().withColumn("__a", token_sort(F.col(left_on)))
-    choices = right.select(F.col(right_on).alias("match")).where(F.col(right_on).isNotNull()).distinct().withColumn("__b", token_sort(F.col("match")))
-    exact = names.join(choices, F.col("__a") == F.col("__b")).groupBy(left_on).agg(F.min("match").alias("match")).withColumn("score", F.lit(100))
-    open_names = names.join(exact.select(left_on), left_on, "left_anti")
-    # 2 * min / (a + b) >= r needs the longer one to be at most (2 - r) / r times the shorter.
     r = (least - 0.5) / 100
     if r <= 0:
         raise ValueError("least must be 1 or more")
-    step = F.lit((2 - r) / r)
-    block = lambda c: F.floor(F.log(F.greatest(F.length(c), F.lit(1))) / F.log(step)).cast("int") if least < 100 else F.length(c)
-    near = F.array(F.lit(-1), F.lit(0), F.lit(1)) if least < 100 else F.array(F.lit(0))
-    blocked = open_names.withColumn("__block", F.explode(F.transform(near, lambda d: block("__a") + d)))
-    pairs = blocked.join(choices.withColumn("__block", block("__b")), "__block").where(2 * F.least(F.length("__a"), F.length("__b")) >= r * (F.length("__a") + F.length("__b")))
+    names = left.select(left_on).where(F.col(left_on).isNotNull()).distinct().withColumn("__a", token_sort(F.col(left_on)))
+    choices = right.select(F.col(right_on).alias("match")).where(F.col(right_on).isNotNull()).distinct().withColumn("__b", token_sort(F.col("match")))
+    exact = names.join(choices, F.col("__a") == F.col("__b")).groupBy(left_on).agg(F.min("match").alias("match")).withColumn("score", F.lit(100))
+    rest = names.join(exact.select(left_on), left_on, "left_anti")
+
+    longest = (2 - r) / r
+    changes = lambda n: F.floor(F.lit(2 * (1 - r) / r) * n + F.lit(1e-9)).cast("int")  # noqa: E731  of a name of length n and the longest that can reach it
+    edge = lambda n, i: F.floor(i * n / (changes(n) + 1)).cast("int")  # noqa: E731  where piece i begins
+    piece = lambda text, n, i, shift: F.struct(n.alias("n"), i.alias("i"), F.substring(text, edge(n, i) + shift + 1, edge(n, i + 1) - edge(n, i)).alias("s"))
+    whole = F.length("__a")
+    pieces = F.transform(F.sequence(F.lit(0), changes(whole)), lambda i: piece(F.col("__a"), whole, i, F.lit(0)))
+    size = F.length("__b")
+    lengths = F.sequence(F.ceil(size / F.lit(longest) - F.lit(1e-9)).cast("int"), F.floor(size * F.lit(longest) + F.lit(1e-9)).cast("int"))
+    # Shifts that would begin before the text or end after it give pieces that are too short, which meet nothing.
+    fits = lambda n, i, shift: (edge(n, i) + shift >= 0) & (edge(n, i + 1) + shift <= size)
+    sought = F.flatten(F.transform(lengths, lambda n: F.flatten(F.transform(F.sequence(F.lit(0), changes(n)), lambda i: F.transform(F.filter(F.sequence(-changes(n), changes(n)), lambda d: fits(n, i, d)), lambda d: piece(F.col("__b"), n, i, d))))))
+    meet = rest.select(left_on, "__a", F.explode(pieces).alias("__p")).join(choices.select("match", "__b", F.explode(F.array_distinct(sought)).alias("__p")), "__p")
+    pairs = meet.select(left_on, "__a", "match", "__b").distinct().where(2 * F.least(F.length("__a"), F.length("__b")) >= r * (F.length("__a") + F.length("__b")))
     scored = pairs.withColumn("score", ratio(F.col("__a"), F.col("__b"))).where(F.col("score") >= least)
-    best = scored.groupBy(left_on).agg(F.min(F.struct(-F.col("score"), F.col("match"))).alias("best")).select(left_on, "best.match", (-F.col("best.col1")).alias("score"))
+    best = scored.groupBy(left_on).agg(F.min(F.struct((-F.col("score")).alias("minus"), F.col("match"))).alias("best")).select(left_on, "best.match", (-F.col("best.minus")).alias("score"))
     return names.select(left_on).join(exact.unionByName(best), left_on, "left")
 
 

@@ -7,6 +7,7 @@ from itertools import combinations_with_replacement
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType, StringType
+from pyspark.sql.window import Window
 
 
 def value_counts(df: DataFrame, column: str, name: str = "count") -> DataFrame:
@@ -17,8 +18,8 @@ def value_counts(df: DataFrame, column: str, name: str = "count") -> DataFrame:
 def value_shares(df: DataFrame, column: str) -> DataFrame:
     """(column, count, percent of the values that aren't null, one decimal)."""
     counts = df.where(F.col(column).isNotNull()).groupBy(column).agg(F.count("*").alias("count"))
-    total = df.agg(F.count(column).alias("total"))
-    return counts.join(F.broadcast(total)).select(column, "count", F.round(100 * F.col("count") / F.col("total"), 1).alias("percent"))
+    total = df.agg(F.count(column)).scalar()
+    return counts.select(column, "count", F.round(100 * F.col("count") / total, 1).alias("percent"))
 
 
 def group_counts(df: DataFrame, key: str) -> DataFrame:
@@ -36,9 +37,13 @@ def _long(df: DataFrame, columns: list[str], facts: dict[str, object]) -> DataFr
     return row.select(F.explode(F.array(*[F.struct(F.lit(c).alias("column"), *[F.col(f"{name}__{i}").alias(name) for name in facts]) for i, c in enumerate(columns)])).alias("r")).select("r.*")
 
 
-def describe(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
-    """count, mean, std, min, quartiles (linear interpolation) and max of numeric columns, a row for each."""
-    quartile = lambda q: lambda c: F.percentile(c.cast("double"), F.lit(q))
+def describe(df: DataFrame, columns: list[str] | None = None, exact: bool = True) -> DataFrame:
+    """count, mean, std, min, quartiles (linear interpolation) and max of numeric columns, a row for each.
+
+    Exact quartiles keep a count of each distinct value; where these are too
+    many for a task, ``exact=False`` takes quantile sketches.
+    """
+    quartile = lambda q: lambda c: F.percentile(c.cast("double"), F.lit(q)) if exact else F.percentile_approx(c.cast("double"), q, 10_000)
     facts = {"count": F.count, "mean": lambda c: F.avg(c.cast("double")), "std": lambda c: F.stddev_samp(c.cast("double")), "min": lambda c: F.min(c.cast("double")), "q25": quartile(0.25), "q50": quartile(0.5), "q75": quartile(0.75), "max": lambda c: F.max(c.cast("double"))}
     return _long(df, columns or numeric_columns(df), facts)
 
@@ -75,9 +80,9 @@ def correlations(df: DataFrame, columns: list[str]) -> DataFrame:
 
 def histogram(df: DataFrame, column: str, bins: int = 10) -> DataFrame:
     """(bin from 1, count) of equal-width bins between least and greatest; the last one is closed."""
-    ends = df.agg(F.min(column).alias("low"), F.max(column).alias("high"))
-    at = F.when(F.col("low") == F.col("high"), 1).otherwise(F.least(F.width_bucket(F.col(column).cast("double"), F.col("low").cast("double"), F.col("high").cast("double"), F.lit(bins)), F.lit(bins)))
-    return df.where(F.col(column).isNotNull()).join(F.broadcast(ends)).groupBy(at.cast("int").alias("bin")).agg(F.count("*").alias("count"))
+    low, high = (df.agg(end(F.col(column).cast("double"))).scalar() for end in (F.min, F.max))
+    at = F.when(low == high, 1).otherwise(F.least(F.width_bucket(F.col(column).cast("double"), low, high, F.lit(bins)), F.lit(bins)))
+    return df.where(F.col(column).isNotNull()).select(at.cast("int").alias("bin")).groupBy("bin").agg(F.count("*").alias("count"))
 
 
 def iqr_outliers(df: DataFrame, columns: list[str], reach: float = 1.5) -> DataFrame:
@@ -88,16 +93,27 @@ def iqr_outliers(df: DataFrame, columns: list[str], reach: float = 1.5) -> DataF
     return fences.join(values.join(F.broadcast(fences), "column").groupBy("column").agg(F.count_if((F.col("value") < F.col("low")) | (F.col("value") > F.col("high"))).alias("outliers")), "column", "left").select("column", "q1", "q3", "low", "high", "outliers")
 
 
-def with_row_id(df: DataFrame, *order: str, name: str = "id") -> DataFrame:
-    """df with its rows numbered from 0 in the given order; the number comes first.
+def with_row_id(df: DataFrame, *order: str, name: str = "id", parts: int | None = None) -> DataFrame:
+    """df with its rows numbered from 0 in the given order (nulls first); the number comes first.
 
-    Numbered in two steps: rows are dealt out by ranges of the order and
-    counted by partition, so no task holds all of them.
+    Numbered in two steps, so that no task holds all rows: they are dealt to
+    ranges of the order whose borders come from a bounded sample, counted by
+    range, and numbered within. The borders are literals, so a task that runs
+    again deals its rows alike. Of rows that agree in the order, any may be
+    first: name columns that tell rows apart.
     """
-    from pyspark.sql.window import Window
-
-    dealt = df.repartitionByRange(*order).withColumn("__part", F.spark_partition_id())
+    parts = parts or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    key = F.struct(*order)
+    keys = df.select(key.alias("key")).orderBy(F.xxhash64("key")).limit(20 * parts).select("key.*").orderBy(*order).collect()
+    borders = [keys[i] for i in range(20, len(keys), 20)]
+    kinds = [df.schema[c].dataType for c in order]
+    if borders:
+        found = F.array(*[F.struct(*[F.lit(v).cast(k).alias(c) for v, k, c in zip(row, kinds, order, strict=True)]) for row in borders])
+        part = F.size(F.filter(found, lambda b: b <= key))
+    else:
+        part = F.lit(0)
+    dealt = df.withColumn("__part", part)
     within = dealt.withColumn("__n", F.row_number().over(Window.partitionBy("__part").orderBy(*order)))
-    # As many rows as partitions.
+    # As many rows as ranges.
     starts = dealt.groupBy("__part").agg(F.count("*").alias("__c")).withColumn("__from", F.sum("__c").over(Window.orderBy("__part")) - F.col("__c")).drop("__c")
     return within.join(F.broadcast(starts), "__part").select((F.col("__from") + F.col("__n") - 1).alias(name), *df.columns)

@@ -45,8 +45,8 @@ def class_words(df: DataFrame, topic: str, text: str, top: int = 10) -> DataFram
     """
     counts = df.select(topic, F.explode(tokens(F.lower(text))).alias("word")).groupBy(topic, "word").agg(F.count("*").alias("tf"))
     overall = counts.groupBy("word").agg(F.sum("tf").alias("f"))
-    mean = counts.agg((F.sum("tf") / F.countDistinct(topic)).alias("a"))
-    weighed = counts.join(overall, "word").join(F.broadcast(mean)).select(topic, "word", F.round(F.col("tf") * F.ln(1 + F.col("a") / F.col("f")), 6).alias("weight"))
+    mean = counts.agg(F.sum("tf") / F.countDistinct(topic)).scalar()
+    weighed = counts.join(overall, "word").select(topic, "word", F.round(F.col("tf") * F.ln(1 + mean / F.col("f")), 6).alias("weight"))
     rank = F.row_number().over(Window.partitionBy(topic).orderBy(F.desc("weight"), "word"))
     return weighed.withColumn("rank", rank).where(F.col("rank") <= top)
 

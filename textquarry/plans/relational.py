@@ -69,8 +69,7 @@ def point_lookup(spark: SparkSession, d: str) -> DataFrame:
 @query("SELECT doc_id, source FROM documents WHERE doc_id > (SELECT min(doc_id) FROM documents WHERE source = 'src3')")
 def resume_after_match(spark: SparkSession, d: str) -> DataFrame:
     docs = table(spark, d, "documents").select("doc_id", "source")
-    first = docs.where("source = 'src3'").agg(F.min("doc_id").alias("first"))
-    return docs.join(F.broadcast(first), F.col("doc_id") > F.col("first")).drop("first")
+    return docs.where(F.col("doc_id") > docs.where("source = 'src3'").agg(F.min("doc_id")).scalar())
 
 
 @query("SELECT o_orderkey, o_totalprice FROM orders ORDER BY o_orderkey LIMIT 10")
