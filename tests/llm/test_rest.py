@@ -1,5 +1,6 @@
 """WARC, quality, language, shards, personal data, decontamination and the pipeline."""
 
+import hashlib
 import math
 import random
 import re
@@ -167,6 +168,28 @@ def test_shards(make_docs, edge, edge_rows):
     assert sharding.shard(edge.where("false"), sharding.layout(24)).count() == 0
 
 
+def slow_draw(key, node, path=""):
+    """The shard by one draw after the other."""
+    if node.shard is not None:
+        return node.shard
+    if len(node.children) == 1:
+        return slow_draw(key, node.children[0], f"{path}{node.children[0].name}.")
+    u = lambda c: (int(hashlib.md5(f"{key}/{path}{c.name}".encode()).hexdigest()[:13], 16) + 0.5) / (1 << 52)
+    best = min(node.children, key=lambda c: -math.log(u(c)) / c.weight)
+    return best.shard if best.shard is not None else slow_draw(key, best, f"{path}{best.name}.")
+
+
+def test_shards_by_brute_force(spark, sf_dir):
+    texts = spark.read.parquet(f"{sf_dir}/documents.parquet").collect()
+    got = {r["doc_id"]: tuple(r)[1:] for r in queries.QUERIES["op6_hash_tree_shards"](spark, sf_dir).collect()}
+    place = lambda i: (int(hashlib.md5(f"slot/{i}".encode()).hexdigest()[:13], 16), i)
+    where = {r["doc_id"]: slow_draw(r["doc_id"], sharding.layout(24)) for r in texts}
+    order = {s: sorted((i for i in where if where[i] == s), key=place) for s in range(24)}
+    for r in texts:
+        i, data = r["doc_id"], (r["text"] or "").encode()
+        assert got[i] == (len(data) + 8, zlib.crc32(data), "key", where[i], order[where[i]].index(i), slow_draw(i, sharding.layout(25)))
+
+
 def test_a_weight_moves_rows_only_in_its_subtree(spark):
     leaf = lambda i, w=1.0: sharding.Node(f"s{i}", w, shard=i)
     rack = lambda n, *leaves: sharding.Node(n, 2.0, leaves)

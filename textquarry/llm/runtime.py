@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
+import re
+import shutil
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
@@ -55,16 +58,23 @@ def map_texts(docs: DataFrame, make: Callable[[], Callable[[list, list], dict]],
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder all executors share; where none is set (tests), a local one is set."""
+    """The folder all executors share; where none is set and everything runs on this machine, a temporary one."""
     found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not found:
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         found = tempfile.mkdtemp(prefix="textquarry-")
+        atexit.register(shutil.rmtree, found, True)
         spark.conf.set("spark.checkpoint.dir", found)
     return found.rstrip("/")
 
 
 def durable(df: DataFrame) -> DataFrame:
-    """Written to the shared folder and read back: a short lineage that a lost executor doesn't touch."""
+    """Written to the shared folder and read back: a short lineage that a lost executor doesn't touch.
+
+    The files stay until the folder's owner removes ``tables`` in it: results
+    are lazy, and may be read again.
+    """
     path = f"{shared_folder(df.sparkSession)}/tables/{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
