@@ -34,6 +34,11 @@ def words(text: Column) -> Column:
     return F.array_remove(F.split(F.lower(F.coalesce(text, F.lit(""))), r"[^\p{L}\p{N}]+"), "")
 
 
+def bind(value: Column, use: Callable[[Column], Column]) -> Column:
+    """use(value) with the value worked out once, however often use refers to it."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def over_shingles(found: Column, make: Callable[[Column], Column], n: int) -> Column:
     """make(first index) for each shingle of n words; none for fewer words."""
     last = F.size(found) - n
@@ -70,8 +75,9 @@ def matches(docs: DataFrame, items: DataFrame, threshold: float = THRESHOLD, n:
     if not parts:
         none = F.lit(0)
         return texts.where("false").select("doc_id", "text_hash", F.lit(None).cast(items.schema[item_col].dataType).alias("item_id"), none.alias("n_item"), none.alias("n_shared"), F.lit(0.0).alias("containment"))
-    held = texts.select("doc_id", "text_hash", words(F.col("text")).alias("w"))
-    held = held.select("doc_id", "text_hash", F.greatest(F.size("w") - n + 1, F.lit(0)).alias("size"), F.explode(hashes(F.col("w"), n)).alias("h"))
+    # Hashes alone are exploded: what else a row has is copied for each of them, so words must not be there any more.
+    held = texts.select("doc_id", "text_hash", bind(words(F.col("text")), lambda w: hashes(w, n)).alias("hs"))
+    held = held.select("doc_id", "text_hash", F.size("hs").alias("size"), "hs").select("doc_id", "text_hash", "size", F.explode("hs").alias("h"))
     # What no part can use goes before the join.
     useful = None
     for p in parts:
@@ -80,7 +86,7 @@ def matches(docs: DataFrame, items: DataFrame, threshold: float = THRESHOLD, n:
     probes = F.broadcast(sketches) if sum(p["n"] for p in parts) <= BROADCAST_HASHES else sketches
     found = durable(held.where(useful).join(probes, "h").where("size >= need").groupBy("doc_id", "text_hash").agg(F.collect_set("nr").alias("nrs")))
     # Documents' texts meet their candidates; small sets of candidates are broadcast by Spark, which knows their size.
-    pairs = texts.join(found, texts["doc_id"].eqNullSafe(found["doc_id"]) & (texts["text_hash"] == found["text_hash"])).select(texts["doc_id"], texts["text_hash"], F.array_distinct(strings(words(F.col("text")), n)).alias("has"), F.explode("nrs").alias("nr"))
+    pairs = texts.join(found, texts["doc_id"].eqNullSafe(found["doc_id"]) & (texts["text_hash"] == found["text_hash"])).select(texts["doc_id"], texts["text_hash"], F.array_distinct(bind(words(F.col("text")), lambda w: strings(w, n))).alias("has"), F.explode("nrs").alias("nr"))
     pairs = pairs.join(wanted.select("nr", "item_id", "item"), "nr").select("doc_id", "text_hash", "item_id", F.size("item").alias("n_item"), F.size(F.array_intersect("has", "item")).alias("n_shared"))
     return pairs.where(F.col("n_shared") >= need(F.col("n_item"))).withColumn("containment", F.round(F.col("n_shared") / F.col("n_item"), 6))
 
