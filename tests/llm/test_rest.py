@@ -107,7 +107,8 @@ def test_word_numbers_survive_being_forgotten():
     for _ in range(3):
         for text in (b"a b c d", b"d e f A", b"g"):
             found = text.split()
-            assert words.hashes[words.of(found)].tolist() == [zlib.crc32(w.lower()) for w in found]
+            numbers = words.of(found)
+            assert words.hashes[numbers].tolist() == [zlib.crc32(w.lower()) for w in found]
 
 
 def slow_phrases(sample, line):
