@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 from pyspark.sql.window import Window
 
+from textquarry.functions.similarity import cosine
 from textquarry.functions.text import render, tokens, without_stopwords
 
 
@@ -99,3 +100,18 @@ def annotate_texts(df: DataFrame, stop: list[str], key: str = "id") -> DataFrame
 def naming_prompt(words: Column, template: str) -> Column:
     """The prompt that asks a model to name a topic by its words."""
     return render(template, words=F.array_join(words, ", "))
+
+
+def nearest(vectors: DataFrame, asked: DataFrame, key: str, vector: str, top: int = 10) -> DataFrame:
+    """(query_id, key, score): for each row of ``asked`` the ``top`` other rows of ``vectors`` by cosine similarity; of equals, the lower key first.
+
+    The queries go to each of as many parts as there are shuffle partitions,
+    the vectors to one each by a hash of their key. Only the best of a part
+    leave it before the last ranking.
+    """
+    parts = int(vectors.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    queries = asked.select(F.col(key).alias("query_id"), F.col(vector).alias("__asked"), F.explode(F.sequence(F.lit(0), F.lit(parts - 1))).alias("__part"))
+    held = vectors.select(key, vector, F.pmod(F.hash(key), F.lit(parts)).alias("__part"))
+    scored = held.join(queries, "__part").where(F.col(key) != F.col("query_id")).select("query_id", key, cosine(F.col("__asked"), F.col(vector)).alias("score"))
+    rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), key))
+    return scored.withColumn("rank", rank).where(F.col("rank") <= top).select("query_id", key, "score")

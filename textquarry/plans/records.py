@@ -79,6 +79,6 @@ def json_parse(spark: SparkSession, d: str) -> DataFrame:
 @query()
 def transform_entry(spark: SparkSession, d: str) -> DataFrame:
     """Split, and topics for the texts of a child table: k-means has no SQL."""
-    rows = table(spark, d, "documents").select(F.col("doc_id").alias("id"), F.struct(F.substring("text", 1, 1000).alias("description")).alias("about"))
+    rows = table(spark, d, "documents").select(F.col("doc_id").alias("id"), F.struct(F.col("text").alias("description")).alias("about"))
     child = nested.split_record(rows).children["about"]
     return topics.annotate(child, "description", ["the", "and", "of"], k=4).select("id", "description_topic", "description_topic_label", "description_topic_count")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from textquarry.functions import chunks, encoding, redact, similarity
+from textquarry.functions import chunks, encoding, redact
 from textquarry.functions import html as H
 from textquarry.functions import text as T
 from textquarry.functions import url as U
@@ -313,15 +313,10 @@ def topic_centroid(spark: SparkSession, d: str) -> DataFrame:
     return found.select("label", F.posexplode("centroid").alias("i", "x")).select("label", F.col("i").cast("bigint").alias("i"), F.round("x", 6).alias("x"))
 
 
-@query("""WITH q AS (SELECT vec_id AS query_id, embedding AS a FROM embeddings WHERE vec_id < 5),
+@query("""WITH q AS (SELECT vec_id AS query_id, embedding AS a FROM embeddings WHERE vec_id % 100 = 0),
 s AS (SELECT query_id, vec_id, list_cosine_similarity(a::DOUBLE[], embedding::DOUBLE[]) AS score FROM q, embeddings WHERE vec_id <> query_id)
 SELECT query_id, vec_id, round(score, 5) AS score FROM s QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) <= 10""")
 def cosine_topk(spark: SparkSession, d: str) -> DataFrame:
-    """Of five given vectors against all others; the queries are five rows, so every task can have them."""
-    from pyspark.sql.window import Window
-
+    """Of every hundredth vector against all others."""
     vectors = table(spark, d, "embeddings").select("vec_id", "embedding")
-    asked = vectors.where("vec_id < 5").select(F.col("vec_id").alias("query_id"), F.col("embedding").alias("a"))
-    scored = vectors.join(F.broadcast(asked), F.col("vec_id") != F.col("query_id")).select("query_id", "vec_id", similarity.cosine(F.col("a"), F.col("embedding")).alias("score"))
-    rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
-    return scored.withColumn("rank", rank).where("rank <= 10").select("query_id", "vec_id", F.round("score", 5).alias("score"))
+    return topics.nearest(vectors, vectors.where("vec_id % 100 = 0"), "vec_id", "embedding").select("query_id", "vec_id", F.round("score", 5).alias("score"))
