@@ -8,6 +8,10 @@ from pyspark.sql import functions as F
 from textquarry.functions.similarity import ratio, token_sort
 
 
+#: Scores from which fuzzy joins look for a piece that names share.
+PIECES_FROM = 85
+
+
 def left_join_new_columns(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
     """Left join that takes only those columns of the right side that the left lacks."""
     return left.join(right.select(key, *[c for c in right.columns if c not in left.columns]), key, "left")
@@ -70,6 +74,9 @@ def fuzzy_best(left: DataFrame, right: DataFrame, left_on: str, right_on: str, l
     # Shifts that would begin before the text or end after it give pieces that are too short, which meet nothing.
     fits = lambda n, i, shift: (edge(n, i) + shift >= 0) & (edge(n, i + 1) + shift <= size)
     sought = F.flatten(F.transform(lengths, lambda n: F.flatten(F.transform(F.sequence(F.lit(0), changes(n)), lambda i: F.transform(F.filter(F.sequence(-changes(n), changes(n)), lambda d: fits(n, i, d)), lambda d: piece(F.col("__b"), n, i, d))))))
+    if least < PIECES_FROM:  # so many changes leave pieces of a character or none: names meet on their lengths
+        alone = lambda n: F.struct(n.alias("n"), F.lit(0).alias("i"), F.lit("").alias("s"))
+        pieces, sought = F.array(alone(whole)), F.transform(lengths, alone)
     meet = rest.select(left_on, "__a", F.explode(pieces).alias("__p")).join(choices.select("match", "__b", F.explode(F.array_distinct(sought)).alias("__p")), "__p")
     pairs = meet.select(left_on, "__a", "match", "__b").distinct().where(2 * F.least(F.length("__a"), F.length("__b")) >= r * (F.length("__a") + F.length("__b")))
     scored = pairs.withColumn("score", ratio(F.col("__a"), F.col("__b"))).where(F.col("score") >= least)
