@@ -107,7 +107,8 @@ def ratios(docs: DataFrame, trusted_ids: DataFrame, id_col: str = "doc_id", text
     """
     good = trusted_ids.where(F.col(id_col).isNotNull()).select(F.col(id_col).cast("bigint").alias("doc_id")).distinct().withColumn("trusted", F.lit(True))
     packed = keyed_text(docs, id_col, text_col).mapInArrow(_pack, "doc_id bigint, packed binary")
-    counts = packed.join(good, "doc_id", "left").select("packed", "trusted").mapInArrow(_count, "bucket int, raw bigint, trusted bigint")
+    # Labels grow with the corpus: they are shuffled at every size, never broadcast.
+    counts = packed.join(good.hint("shuffle_merge"), "doc_id", "left").select("packed", "trusted").mapInArrow(_count, "bucket int, raw bigint, trusted bigint")
     raw, trusted = np.zeros(BUCKETS), np.zeros(BUCKETS)
     for r in counts.groupBy("bucket").agg(F.sum("raw").alias("raw"), F.sum("trusted").alias("trusted")).collect():
         raw[r["bucket"]], trusted[r["bucket"]] = r["raw"], r["trusted"]
