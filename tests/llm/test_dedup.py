@@ -127,6 +127,20 @@ def test_repeats_in_long_text(make_docs, monkeypatch):
     assert [tuple(x)[1:] for x in done.orderBy("doc_id").collect()] == slow_removal(texts)
 
 
+def test_piece_borders_leave_runs_whole(make_docs):
+    r = random.Random(8)
+    text = "".join(r.choice("abcd ") for _ in range(30_000))
+    data = np.frombuffer(text.encode(), np.uint8)
+    for size in (50, 700, 29_601):
+        got = [np.concatenate(x) for x in zip(*suffix_dedup._runs(data, size), strict=True)]
+        assert all((x == y).all() for x, y in zip(got, suffix_dedup.runs_of(data), strict=True))
+    texts = [text, text[:9000] + "#" + text[9001:12_000]]
+    alone = suffix_dedup.remove_repeats(make_docs([(0, text)]), piece=700).drop("kept").first()
+    assert (alone["n_removed"], alone["n_spans"]) == (0, 0)
+    done = suffix_dedup.remove_repeats(make_docs(list(enumerate(texts))), piece=700).drop("kept")
+    assert [tuple(x)[1:] for x in done.orderBy("doc_id").collect()] == slow_removal(texts)
+
+
 def test_repeats_on_edge_cases(edge, edge_rows):
     key = lambda x: tuple((v is None, v) for v in x)
     want = sorted(((i, *x) for (i, _), x in zip(edge_rows, slow_removal([t for _, t in edge_rows]), strict=True)), key=key)

@@ -26,6 +26,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
@@ -36,7 +37,7 @@ from pyspark.sql import functions as F
 from textquarry.llm.runtime import durable
 
 LENGTH, GRAM, BLOCK = 400, 100, 16
-#: Windows of a text handled at once; bounds a worker's memory for texts of any size.
+#: Windows of a text handled at once; bounds a worker's memory for texts of any size. No result depends on it.
 PIECE = 1 << 20
 
 _MASK = (1 << 64) - 1
@@ -90,31 +91,57 @@ def runs_of(data: np.ndarray, length: int = LENGTH, gram: int = GRAM) -> tuple[n
     first = np.flatnonzero(np.concatenate(([True], anchors[1:] != anchors[:-1])))
     last = np.concatenate((first[1:], [len(anchors)])) - 1
     anchor = anchors[first]
-    whole = _splitmix(sums.hash(first, last + length) ^ (anchor - first).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
-    return anchor, first, last, grams[anchor], whole
+    return anchor, first, last, grams[anchor], _whole(sums, anchor, first, last, length)
+
+
+def _whole(sums: Sums, anchor: np.ndarray, first: np.ndarray, last: np.ndarray, length: int = LENGTH) -> np.ndarray:
+    """Hash of all the bytes of runs and of where in them the anchor is."""
+    return _splitmix(sums.hash(first, last + length) ^ (anchor - first).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
 
 
 def _signed(x: np.ndarray) -> np.ndarray:
     return x.view(np.int64)
 
 
-def _pieces(data: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
-    """Stretches of at most PIECE windows; what is found in each is right for its windows."""
-    for start in range(0, max(0, len(data) - LENGTH + 1), PIECE):
-        yield start, data[start : start + PIECE + LENGTH - 1]
+def _pieces(data: np.ndarray, size: int | None = None) -> Iterator[tuple[int, np.ndarray]]:
+    """Stretches of at most ``size`` windows, PIECE if None; what is found in each is right for its windows."""
+    size = size or PIECE
+    for start in range(0, max(0, len(data) - LENGTH + 1), size):
+        yield start, data[start : start + size + LENGTH - 1]
 
 
-def _anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _runs(data: np.ndarray, size: int | None = None) -> Iterator[tuple[np.ndarray, ...]]:
+    """What runs_of finds in the text as a whole, piece by piece.
+
+    A piece's last run is held back: where the next piece begins with the same
+    anchor, both are one run that the border has cut.
+    """
+    open_run: tuple[np.ndarray, ...] | None = None
+    for start, piece in _pieces(data, size):
+        anchor, first, last, core, uni = runs_of(piece)
+        anchor, first, last = anchor + start, first + start, last + start
+        if open_run and open_run[0][0] == anchor[0]:
+            first[0] = open_run[1][0]
+            left = first[:1]
+            uni[:1] = _whole(Sums(data[left[0] : last[0] + LENGTH]), anchor[:1] - left, left - left, last[:1] - left)
+        elif open_run:
+            yield open_run
+        found = (anchor, first, last, core, uni)
+        open_run = tuple(x[-1:] for x in found)
+        yield tuple(x[:-1] for x in found)
+    if open_run:
+        yield open_run
+
+
+def _anchors(batches: Iterator[pa.RecordBatch], piece: int) -> Iterator[pa.RecordBatch]:
     """(id, row, text) -> (core, uni, id, row, anchor, first, last)."""
     names = ["core", "uni", "id", "row", "anchor", "first", "last"]
     for batch in batches:
         held: list[list[np.ndarray]] = [[] for _ in names]
         size = 0
         for doc, row, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2), strict=True):
-            data = np.frombuffer(text.as_buffer(), np.uint8)
-            for start, piece in _pieces(data):
-                anchor, first, last, core, uni = runs_of(piece)
-                for column, x in zip(held, (_signed(core), _signed(uni), np.full(len(anchor), doc), np.full(len(anchor), row), anchor + start, first + start, last + start), strict=True):
+            for anchor, first, last, core, uni in _runs(np.frombuffer(text.as_buffer(), np.uint8), piece):
+                for column, x in zip(held, (_signed(core), _signed(uni), np.full(len(anchor), doc), np.full(len(anchor), row), anchor, first, last), strict=True):
                     column.append(x)
                 size += len(anchor)
             if size > 100_000:
@@ -235,19 +262,19 @@ def _settle(rows: DataFrame, several: Column, one_of: list[str]) -> tuple[DataFr
     return repeats, kinds.select("core", "uni", *[f"one.{c}" for c in one_of], (F.col("one.known") | F.col("several")).alias("known"))
 
 
-def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", piece: int | None = None) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256, kept (the remaining bytes) of every row.
 
     Texts are taken as UTF-8; null is the empty text. Texts shorter than
     LENGTH lose nothing. Repeated rows count as copies of each other. Other
     columns are ignored. Equality is that of 64-bit hashes of the bytes, one
-    for each round.
+    for each round. piece: windows of a text handled at once, PIECE if None.
     """
     rows = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     rows = rows.select("doc_id", F.coalesce("doc_id", F.lit(0)).alias("id"), F.xxhash64("doc_id", "text").alias("row"), "text")
     packed = rows.mapInArrow(_pack, "doc_id bigint, id bigint, row bigint, packed binary")
 
-    anchors = durable(rows.where(F.octet_length("text") >= LENGTH).select("id", "row", "text").mapInArrow(_anchors, "core bigint, uni bigint, id bigint, row bigint, anchor bigint, first bigint, last bigint"))
+    anchors = durable(rows.where(F.octet_length("text") >= LENGTH).select("id", "row", "text").mapInArrow(partial(_anchors, piece=piece or PIECE), "core bigint, uni bigint, id bigint, row bigint, anchor bigint, first bigint, last bigint"))
     repeats, left = _settle(anchors.withColumn("known", F.lit(False)), F.count("*") > 1, ["id", "row", "anchor", "first", "last"])
     spans = [durable(repeats.select("id", "row", F.col("first").alias("start"), (F.col("last") + LENGTH).alias("end")))]
 
