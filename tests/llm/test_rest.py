@@ -102,6 +102,20 @@ def test_quality(make_docs, spark):
     assert quality_llr.judge(docs.where("false"), table).count() == 0
 
 
+def test_quality_cut_follows_the_labels(make_docs, spark):
+    assert [quality_llr.bucket_count(n) for n in (0, 1 << 20, 3 << 20, 25 << 20, 1 << 40)] == [1024, 1024, 2048, 16384, 65536]
+    assert quality_llr.best_cut([(-9000, 0, 5), (-2000, 1, 3), (0, 20, 1), (4000, 30, 0)]) == 0
+    assert quality_llr.best_cut([(5, 3, 0)]) == quality_llr.THRESHOLD
+    r = random.Random(9)
+    # Untrusted ones have a few words of their own; the fixed THRESHOLD tells these apart as well.
+    prose = lambda k: " ".join(r.choice([f"w{r.randrange(300)}"] * 24 + [f"t{r.randrange(5)}"] * k) for _ in range(150))
+    docs = make_docs(list(enumerate(prose(2 * (i % 4 == 0)) for i in range(400))))
+    labels = spark.createDataFrame([(i, i % 4 != 0) for i in range(0, 400)], "doc_id bigint, trusted boolean")
+    table, cut = quality_llr.fit(docs, labels)
+    kept = {x["doc_id"] for x in quality_llr.judge(docs, table, cut).where("kept").collect()}
+    assert sum(i % 4 == 0 for i in kept) <= 10 and sum(i % 4 != 0 for i in kept) >= 280
+
+
 def test_word_numbers_survive_being_forgotten():
     words = quality_llr.Words(most=3)
     for _ in range(3):

@@ -26,8 +26,8 @@ def op3_warc_derivatives(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op4_quality_llr(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    trusted = table(spark, sf_dir, "labels").where("quality = 1 AND toxic = 0")
-    return quality_llr.judge(docs, quality_llr.ratios(docs, trusted))
+    labels = table(spark, sf_dir, "labels").selectExpr("doc_id", "quality = 1 AND toxic = 0 AS trusted")
+    return quality_llr.judge(docs, *quality_llr.fit(docs, labels))
 
 
 def op5_cross_parsing_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
