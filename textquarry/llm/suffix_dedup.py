@@ -1,11 +1,10 @@
-"""Removal of byte strings that occur more than once, by bucket-pointer refinement.
-
-Two positions of a corpus start the same string of LENGTH bytes if they stay
-in one bucket while buckets, by their first bytes at first, are split by the
-buckets found at later offsets. What a bucket is called is a hash of what its
-members share, so a bucket's name at a later offset is worked out in place
-from a text's prefix sums and reused by every position that refers to it.
-Only what is still undecided goes on to the next round:
+"""Removal of byte strings that occur more than once, by anchored window hashing.
+
+Used in place of bucket-pointer refinement, which sorts positions by the
+buckets found at later offsets and so needs a row for each byte in each round.
+Here runs of windows that share an anchor stand for their positions, and
+buckets are hashes of bytes, from a text's prefix sums. Only what is still
+undecided goes on to the next round:
 
 1. Every window of LENGTH bytes is stood for by the least of its GRAM-byte
    strings (leftmost of equals), which depends on the window alone. Windows in
