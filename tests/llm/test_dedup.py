@@ -7,7 +7,7 @@ import re
 import numpy as np
 import xxhash
 
-from textquarry.llm import components, simhash, suffix_dedup
+from textquarry.llm import components, queries, simhash, suffix_dedup
 
 
 def slow_fingerprint(text):
@@ -116,17 +116,6 @@ def test_repeats(make_docs):
     assert [tuple(x)[1:] for x in got.orderBy("doc_id").collect()] == slow_removal(texts)
 
 
-def test_repeats_in_long_text(make_docs, monkeypatch):
-    r = random.Random(5)
-    text = "".join(r.choice("abcd ") for _ in range(5000))
-    texts = [text + text[1000:2000], text[3000:4200]]
-    monkeypatch.setattr(suffix_dedup, "PIECE", 700)
-    got = [suffix_dedup.runs_of(np.frombuffer(piece, np.uint8)) for _, piece in suffix_dedup._pieces(texts[0].encode())]
-    assert sum(int((last - first + 1).sum()) for _, first, last, _, _ in got) == 6000 - 400 + 1
-    done = suffix_dedup.remove_repeats(make_docs(list(enumerate(texts)))).drop("kept")
-    assert [tuple(x)[1:] for x in done.orderBy("doc_id").collect()] == slow_removal(texts)
-
-
 def test_piece_borders_leave_runs_whole(make_docs):
     r = random.Random(8)
     text = "".join(r.choice("abcd ") for _ in range(30_000))
@@ -134,13 +123,35 @@ def test_piece_borders_leave_runs_whole(make_docs):
     for size in (50, 700, 29_601):
         got = [np.concatenate(x) for x in zip(*suffix_dedup._runs(data, size), strict=True)]
         assert all((x == y).all() for x, y in zip(got, suffix_dedup.runs_of(data), strict=True))
-    texts = [text, text[:9000] + "#" + text[9001:12_000]]
+    texts = [text + text[1000:2000], text[:9000] + "#" + text[9001:12_000], text[3000:4200]]
     alone = suffix_dedup.remove_repeats(make_docs([(0, text)]), piece=700).drop("kept").first()
     assert (alone["n_removed"], alone["n_spans"]) == (0, 0)
     done = suffix_dedup.remove_repeats(make_docs(list(enumerate(texts))), piece=700).drop("kept")
     assert [tuple(x)[1:] for x in done.orderBy("doc_id").collect()] == slow_removal(texts)
 
 
+def test_buckets_are_refined_by_later_ones():
+    data = np.frombuffer(b"abcabcabcab" * 3, np.uint8)
+    two = suffix_dedup.refined(suffix_dedup.initial(data, 2), 2)
+    four = suffix_dedup.refined(two, 3)
+    for buckets, length in ((two, 4), (four, 7)):
+        strings = [data[i : i + length].tobytes() for i in range(len(data) - length + 1)]
+        assert len(strings) == len(buckets)
+        assert [[a == b for a in strings] for b in strings] == [[a == b for a in buckets] for b in buckets]
+
+
+def test_repeats_over_a_whole_table(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").orderBy("doc_id").collect()
+    got = queries.QUERIES["op10_bucket_pointer_dedup"](spark, sf_dir).orderBy("doc_id").collect()
+    assert [tuple(x) for x in got] == [(d["doc_id"], *x) for d, x in zip(docs, slow_removal([d["text"] for d in docs]), strict=True)]
+
+
+def test_repeats_in_long_periodic_texts(make_docs):
+    texts = ["z" * 3_000_000, "ab" * 200_000 + "c", "q" * 399]
+    got = suffix_dedup.remove_repeats(make_docs(list(enumerate(texts)))).drop("kept", "kept_sha256").orderBy("doc_id").collect()
+    assert [tuple(x)[1:] for x in got] == [(3_000_000, 3_000_000, 1), (400_001, 400_000, 1), (399, 0, 0)]
+
+
 def test_repeats_on_edge_cases(edge, edge_rows):
     key = lambda x: tuple((v is None, v) for v in x)
     want = sorted(((i, *x) for (i, _), x in zip(edge_rows, slow_removal([t for _, t in edge_rows]), strict=True)), key=key)

@@ -69,12 +69,38 @@ def shared_folder(spark: SparkSession) -> str:
     return found.rstrip("/")
 
 
+#: Where this process has written tables that are still there.
+_WRITTEN: set[str] = set()
+
+
 def durable(df: DataFrame) -> DataFrame:
     """Written to the shared folder and read back: a short lineage that a lost executor doesn't touch.
 
-    The files stay until the folder's owner removes ``tables`` in it: results
-    are lazy, and may be read again.
+    Results are lazy and may be read again, so what they read stays until
+    ``clean`` is called or the folder's owner removes ``tables`` in it.
+    Operators discard what no result reads.
     """
     path = f"{shared_folder(df.sparkSession)}/tables/{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    _WRITTEN.add(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out._durable_path = path
+    return out
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+    _WRITTEN.discard(path)
+
+
+def discard(*tables: DataFrame) -> None:
+    """Deletes tables that durable has written, once nothing reads them any more."""
+    for df in tables:
+        _delete(df.sparkSession, df._durable_path)
+
+
+def clean(spark: SparkSession) -> None:
+    """Deletes all tables that durable has written in this process; to be called once results have been stored."""
+    for path in list(_WRITTEN):
+        _delete(spark, path)
