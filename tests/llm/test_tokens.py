@@ -49,7 +49,7 @@ def test_any_text(text):
 
 def test_trie(library):
     trie = bpe_trie.TrieEncoder(byte_bpe.load(PATH))
-    some = [*texts(200, 2), "a" * 3000, "=" * 300 + "-" * 300]
+    some = [*texts(200, 2), "a" * 3000, "=" * 300 + "-" * 300, *("ab" * 20 + "c" * n for n in range(20, 30)), "é" * 33, "x" * 70 + "y", "x" * 70 + "z", "q" * 1_000_000]
     for t, code in zip(some, trie.encode_all(some), strict=True):
         ids = library.encode(t, add_special_tokens=False).ids
         assert np.frombuffer(code, "<u4").tolist() == ids

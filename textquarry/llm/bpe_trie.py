@@ -23,8 +23,9 @@ from textquarry.llm.runtime import keyed_text, map_texts
 
 #: Distinct words whose encodings a worker keeps.
 KEPT_WORDS = 500_000
-#: Words of more bytes are encoded by walking back over their last tokens and aren't kept.
-LONG_WORD = 64
+#: Prefixes of up to so many bytes have their whole encoding on the stack; from longer ones it is read back over their
+#: last tokens, and words that long aren't kept. No result depends on it.
+SPELLED = 64
 
 #: The pre-tokens of byte-level BPE, for any text.
 ANY = regex.compile(r"'(?:[stmd]|re|ve|ll)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
@@ -122,24 +123,12 @@ class TrieEncoder:
                 return n, token
         raise ValueError("the vocabulary lacks single bytes")
 
-    def long_word(self, word: bytes) -> bytes:
-        last, state = [-1], self.root
-        for end, byte in enumerate(word, 1):
-            state = state[0].get(byte) or self.step(state, byte)
-            last.append(self.last_token(state, end, last)[1])
-        out, end = [], len(word)
-        while end:
-            out.append(self.packed[last[end]])
-            end -= len(self.bpe.bytes[last[end]])
-        return b"".join(reversed(out))
-
-    def learn(self, words: set[str]) -> None:
-        """Encodes distinct words in the order of a depth-first walk over their trie."""
+    def learn(self, words: set[str]) -> dict[str, bytes]:
+        """Encodes distinct words in the order of a depth-first walk over their trie; returns what isn't kept."""
         last, codes, states, before = [-1], [b""], [self.root], b""
-        packed, known, last_token = self.packed, self.known, self.last_token
+        packed, lengths, known, last_token = self.packed, self.bpe.bytes, self.known, self.last_token
+        passing: dict[str, bytes] = {}
         for word, text in sorted((w.encode(), w) for w in words):
-            if len(word) > LONG_WORD:
-                continue
             same = 0
             for a, b in zip(word, before, strict=False):
                 if a != b:
@@ -153,9 +142,18 @@ class TrieEncoder:
                 n, token = last_token(state, end, last)
                 last.append(token)
                 states.append(state)
-                codes.append(codes[end - n] + packed[token])
-            known[text] = codes[-1]
+                if end <= SPELLED:
+                    codes.append(codes[end - n] + packed[token])
+            if len(word) <= SPELLED:
+                known[text] = codes[-1]
+            else:
+                tail, end = [], len(word)
+                while end > SPELLED:
+                    tail.append(packed[last[end]])
+                    end -= len(lengths[last[end]])
+                passing[text] = codes[end] + b"".join(reversed(tail))
             before = word
+        return passing
 
     def encode_all(self, texts: list[str]) -> list[bytes]:
         """The ids of each text."""
@@ -163,7 +161,7 @@ class TrieEncoder:
         fresh = {w for parts in split for words, _ in parts for w in words}
         if len(self.known) + len(fresh) > KEPT_WORDS:
             self.known.clear()
-        self.learn(fresh - self.known.keys())
+        passing = self.learn(fresh - self.known.keys())
         known, out = self.known, []
         for parts in split:
             code = []
@@ -171,7 +169,7 @@ class TrieEncoder:
                 if i % 2:
                     code.append(self.packed[self.bpe.special[x]])
                 else:
-                    code += [known[w] if w in known else self.long_word(w.encode()) for w in words]
+                    code += [known[w] if w in known else passing[w] for w in words]
             out.append(b"".join(code))
         return out
 
