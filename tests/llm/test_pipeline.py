@@ -27,8 +27,10 @@ def folder(spark, tmp_path_factory):
     items = [(j, " ".join(r.choice(words["aa"]) for _ in range(30))) for j in range(5)]
     docs += [[200 + i, docs[i][1], docs[i][2]] for i in range(0, 40, 3)]
     docs += [[300 + j, docs[j][1] + " " + items[j % 5][1], "aa"] for j in range(8)]
-    docs += [[400, "call +1 (649) 555-1648 " + docs[1][1][::-1], "aa"], [401, None, "aa"], [402, "", None], [403, "12 34", "bb"], [404, "12 34", "bb"], [405, "x", "aa"]]
-    docs += [list(docs[5]), [None, docs[7][1], "aa"], [None, "only here " + docs[9][1][::-1], "bb"]]
+    docs += [[400, "call +1 (649) 555-1648 " + " ".join(docs[1][1].split()[::-1]), docs[1][2]], [401, None, "aa"], [402, "", None], [403, "12 34", "bb"], [404, "12 34", "bb"], [405, "x", "aa"]]
+    docs += [[500 + k, " ".join("".join(r.choice("vwxyz") for _ in range(r.randint(2, 9))) for _ in range(120)), lang] for k, lang in enumerate(["aa", None, "bb"])]
+    docs += [[600, " ".join(r.choice(words["bb"]) for _ in range(90)), None]]
+    docs += [list(docs[5]), [None, docs[7][1], "aa"], [None, " ".join(docs[9][1].split()[::-1]), docs[9][2]]]
     rows = [(i, t, lang, "s", None if t is None else len(t)) for i, t, lang in docs]
     spark.createDataFrame(rows, COLUMNS).write.parquet(f"{at}/documents.parquet")
     spark.createDataFrame(items, "item_id bigint, text string").write.parquet(f"{at}/benchmark.parquet")
@@ -37,7 +39,10 @@ def folder(spark, tmp_path_factory):
 
 def test_against_brute_force(spark, folder):
     at, rows, items = folder
-    docs = [r for r in rows if any(map(str.isalpha, r[1] or ""))]
+    parser = langid.learn(spark.read.parquet(f"{at}/documents.parquet"))
+    told = parser.predict([r[1] for r in rows], parser.codes())
+    docs = [r for r, (lang, _, foreign) in zip(rows, told, strict=True) if lang != "und" and not foreign]
+    assert {r[0] for r in rows} - {r[0] for r in docs} >= {401, 402, 403, 404, 500, 501, 502}
     roots = slow_classes([slow_fingerprint(r[1]) for r in docs])
     best = {}
     for r, root in zip(docs, roots, strict=True):
@@ -64,4 +69,12 @@ def test_stages_keep_columns_and_stand_empty_tables(spark, folder):
         assert stage(spark, docs, at).schema.names == docs.schema.names
         assert stage(spark, docs.where("false"), at).count() == 0
     assert corpus_pipeline.STAGES[-1][1](spark, docs.where("false"), at).count() == 0
-    assert langid.UND == "und"
+    kept = {r["doc_id"]: r["lang"] for r in corpus_pipeline.language(spark, docs, at).collect()}
+    assert not {401, 402, 403, 404, 500, 501, 502} & kept.keys() and kept[600] == "bb" and sum(i is not None and i < 120 for i in kept) == 120
+
+
+def test_languages_asked_for(spark, folder, monkeypatch):
+    at, _, _ = folder
+    monkeypatch.setattr(corpus_pipeline, "LANGUAGES", {"bb"})
+    docs = spark.read.parquet(f"{at}/documents.parquet")
+    assert {r["lang"] for r in corpus_pipeline.language(spark, docs, at).collect()} == {"bb"}

@@ -137,36 +137,94 @@ def slow_phrases(sample, line):
 
 
 def test_cross_parsing():
-    samples = {"a": ["the cat sat on the mat", "a dog, a cat"], "b": ["le chat est sur le tapis à midi"]}
+    samples = {"a": ["the cat sat on the mat", "a dog, a cat"], "b": ["le chat est sur le tapis à midi"], "c": ["Это кошка и собака 猫と犬"]}
     parser = langid.CrossParser(samples)
     table = parser.codes()
-    texts = ["The cat", "le tapis, le chat", "zzz Ω!", "à", "cat" * 900 + " dog"]
+    texts = ["The cat", "le tapis, le chat", "zzz Ω!", "à", "cat" * 900 + " dog", "猫 собака", "thecatsat" * 2000, " ".join(["le chat the dog кошка Ω"] * 400)]
     lines = [langid.symbols(t, table) for t in texts]
     got = parser.phrases(lines)
     for k, lang in enumerate(parser.langs):
-        sample = "".join(chr(c) for t in samples[lang] for c in [*langid.symbols(t, table), 2])
+        sample = "".join(chr(c) for t in samples[lang] for c in [*langid.symbols(t, table).tolist(), langid.BORDER])
         for line, n in zip(lines, got[:, k], strict=True):
-            whole = "".join(map(chr, line)).replace(chr(0), chr(200))
-            assert n == sum(slow_phrases(sample, whole[i : i + langid.BLOCK]) for i in range(0, len(whole), langid.BLOCK))
-    assert [x[0] for x in parser.predict([None, "", "12 !", *texts[:2]], table)] == ["und", "und", "und", "a", "b"]
+            assert n == slow_phrases(sample, "".join(map(chr, line)).replace(chr(langid.UNKNOWN), chr(200)))
+    assert [x[0] for x in parser.predict([None, "", "12 !", *texts[:2], texts[5]], table)] == ["und", "und", "und", "a", "b", "c"]
+
+
+def test_every_letter_has_a_symbol(monkeypatch):
+    letters = "".join(chr(c) for c in range(0x4E00, 0x4E00 + 3000))
+    parser = langid.CrossParser({"zh": [letters], "ja": [letters[::-1]]})
+    assert len(parser.alphabet) == 3000 and parser.predict([letters[100:160], letters[160:100:-1]], parser.codes())[0][0] == "zh"
+    assert parser.predict([letters[160:100:-1]], parser.codes())[0][0] == "ja"
+    monkeypatch.setattr(langid, "MOST_BYTES", 1000)
+    with pytest.raises(ValueError, match="automata"):
+        langid.CrossParser({"zh": [letters]})
+
+
+def test_phrases_of_random_lines():
+    r = random.Random(2)
+    samples = {k: ["".join(r.choice("abcd ") for _ in range(400))] for k in ("x", "y")}
+    parser = langid.CrossParser(samples)
+    table = parser.codes()
+    lines = [langid.symbols("".join(r.choice("abcde ") for _ in range(n)), table) for n in (1, 1023, 1024, 1025, 5000, 2048)]
+    for k, lang in enumerate(parser.langs):
+        sample = "".join(chr(c) for c in [*langid.symbols(samples[lang][0], table).tolist(), langid.BORDER])
+        for line, n in zip(lines, parser.phrases(lines)[:, k], strict=True):
+            assert n == slow_phrases(sample, "".join(map(chr, line)).replace(chr(langid.UNKNOWN), chr(200)))
+
+
+def slow_language(samples, text):
+    """The language of the least cost by searching each phrase in the sample."""
+    letters = {c for ts in samples.values() for t in ts for c in t.lower() if c.isalpha()}
+    form = lambda t: re.sub("[^\\w]+", " ", "".join(c if c in letters else "\x00" if c.isalpha() else " " for c in t.lower()).replace("\x00", "Ω"))
+    line, costs = form(text), []
+    if not any(map(str.isalpha, text)):
+        return "und"
+    for lang in sorted(samples):
+        sample = "".join(form(t) + "|" for t in samples[lang])
+        costs.append((slow_phrases(sample, line) * math.log2(max(2, len(sample))), lang))
+    return min(costs)[1]
 
 
 def test_language(spark, sf_dir, make_docs, edge):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    sample = langid.sample(docs)
-    parser = langid.CrossParser(sample)
+    sample, apart = langid.sample(docs)
+    parser = langid.CrossParser(sample, apart)
     got = langid.identify(docs, parser).join(docs, "doc_id")
     held = got.where("held_out").collect()
     assert held and all(zlib.crc32(str(r["doc_id"]).encode()) % 4 == 2 for r in held)
     assert sum(r["lang_pred"] == r["lang"] for r in held) >= 0.97 * len(held)
-    assert all(0 <= r["score"] <= 1 for r in held)
-    unseen = {t for ts in sample.values() for t in ts} & {r["text"][: langid.SAMPLE_CHARS] for r in held}
-    assert not unseen - {r["text"][: langid.SAMPLE_CHARS] for r in docs.where(~langid.held_out()).collect()}
+    assert all(0 <= r["score"] <= 1 for r in held) and sum(r["is_foreign"] for r in held) == 0
+    assert all(r["lang_pred"] == slow_language(sample, r["text"]) for r in got.collect() if len(r["text"]) < 3000)
+    learned = docs.where(~langid.held_out())
+    texts = {r["text"] for r in learned.collect()}
+    assert all(t in texts for ts in [*sample.values(), *apart.values()] for t in ts)
+    assert not any(set(apart.get(k, [])) & set(ts) for k, ts in sample.items())
     pred = {(r["doc_id"], r["lang_pred"]) for r in langid.identify(edge, parser).collect()}
     assert {(1, "und"), (2, "und"), (3, "und"), (8, "und")} <= pred and (4, "und") not in pred
-    assert langid.keep_identified(edge, parser).columns == edge.columns and langid.keep_identified(edge, parser).count() == edge.count() - 4
-    assert langid.sample(edge) == {} and {r["lang_pred"] for r in langid.identify(edge, langid.CrossParser({})).collect()} == {"und"}
-    assert langid.identify(edge.where("false"), parser).count() == 0
+    assert langid.keep_identified(edge, parser).columns == edge.columns
+    plain = langid.CrossParser(sample)  # knows nothing of what is foreign
+    assert langid.keep_identified(edge, plain).count() == edge.count() - 4
+    assert langid.sample(edge) == ({}, {}) and {r["lang_pred"] for r in langid.identify(edge, langid.CrossParser({})).collect()} == {"und"}
+    assert langid.keep_identified(edge, langid.CrossParser({})).count() == langid.identify(edge.where("false"), parser).count() == 0
+
+
+def test_foreign_texts_are_rejected(spark, sf_dir, make_docs):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    known, foreign = docs.where("lang IN ('en', 'fr')"), docs.where("lang = 'de' AND n_chars > 300")
+    parser = langid.learn(known)
+    assert langid.keep_identified(foreign, parser).count() <= 0.1 * foreign.count()
+    assert langid.keep_identified(known, parser).count() >= 0.99 * known.count()
+    asked = langid.keep_identified(known, parser, {"fr"}).collect()
+    assert asked and sum(r["lang"] == "fr" for r in asked) >= 0.95 * len(asked)
+    filled = langid.keep_identified(known.withColumn("lang", F.lit(None).cast("string")), parser).join(known.select("doc_id", F.col("lang").alias("label")), "doc_id").collect()
+    assert sum(r["lang"] == r["label"] for r in filled) >= 0.97 * len(filled)
+
+
+def test_only_long_texts_to_learn_from(make_docs):
+    r = random.Random(4)
+    texts = [" ".join(r.choice(["ab", "cde", "ef"]) for _ in range(20_000)), "xy zx " * 9000, "kurz und gut"]
+    sample, _ = langid.sample(make_docs(list(zip([0, 1, 2], texts, strict=True)), ["a", "b", "c"]))
+    assert {k: len(v) for k, v in sample.items()} == {"a": 1, "b": 1, "c": 1}
 
 
 def test_shards(make_docs, edge, edge_rows):

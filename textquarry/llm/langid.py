@@ -4,12 +4,15 @@ For each language, a suffix automaton of a sample of labelled text. A text is
 parsed from left to right into the longest phrases that occur in the sample;
 phrases times the logarithm of the sample's size, over the text's length,
 estimates the cross entropy (Ziv and Merhav, 1993). The least wins.
+
+The automata are kept sparse, as one table in which a state's transitions lie
+at an offset of its own (a double array): its size follows the samples, not
+the number of letters, and a step is one look-up.
 """
 
 from __future__ import annotations
 
 import math
-from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -17,17 +20,23 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from textquarry.llm.runtime import keyed_text, map_texts
+from textquarry.llm.runtime import SLICE_CHARS, keyed_text, map_texts
 
-#: The sample of a language: so many rows at most, so many characters of each, so many symbols in all.
-SAMPLE_ROWS, SAMPLE_CHARS, SAMPLE_SYMBOLS = 64, 4000, 16_000
-#: Letters with symbols of their own; the rarer ones are in no sample.
-LETTERS = 96
-#: Texts are parsed in blocks of so many symbols, a phrase ending with its block; many blocks are parsed at once.
+#: The sample of a language: so many labelled rows at most, each whole, and no further one once there are so many symbols.
+#: Rows with more characters than that are learned from only where a language has no shorter ones.
+SAMPLE_ROWS, SAMPLE_SYMBOLS = 32, 24_000
+#: Labelled rows of each language that aren't learned from but tell what is foreign to it.
+APART_ROWS = 16
+#: Bytes of tables that may be broadcast; about 1 MB a language is usual.
+MOST_BYTES = 512 << 20
+#: Symbols of a text that are parsed in one go; what is found does not depend on it.
 BLOCK = 1024
+#: Texts with fewer symbols say too little to be called foreign.
+FEW_SYMBOLS = 100
 UND = "und"
-#: Rows whose texts are parsed at once when whole rows are filtered.
-SLICE_ROWS = 500
+
+#: 0: a letter of no sample; 1: blank; 2: between two texts of a sample, in no text; letters follow.
+UNKNOWN, BLANK, BORDER = 0, 1, 2
 
 
 def held_out(doc_id: str = "doc_id"):
@@ -36,23 +45,23 @@ def held_out(doc_id: str = "doc_id"):
 
 
 def symbols(text: str, table: np.ndarray) -> np.ndarray:
-    """Symbols of the lower-cased text; each run of non-letters is one blank (symbol 1)."""
+    """Symbols of the lower-cased text; each run of non-letters is one blank."""
     codes = table[np.frombuffer(text.lower().encode("utf-32-le", "surrogatepass"), "<u4")]
-    blank = codes == 1
+    blank = codes == BLANK
     return codes[~(blank & np.concatenate(([True], blank[:-1])))]
 
 
-def automaton(line: list[int], width: int) -> list[list[int]]:
-    """Transitions of the suffix automaton of a line of symbols: row per state, -1 where there is none; state 0 is the root."""
-    after: list[list[int]] = [[-1] * width]
+def automaton(line: list[int]) -> list[dict[int, int]]:
+    """Transitions of each state of the suffix automaton of a line of symbols; state 0 is the root."""
+    after: list[dict[int, int]] = [{}]
     link, length, last = [-1], [0], 0
     for c in line:
         now = len(after)
-        after.append([-1] * width)
+        after.append({})
         link.append(0)
         length.append(length[last] + 1)
         p = last
-        while p >= 0 and after[p][c] < 0:
+        while p >= 0 and c not in after[p]:
             after[p][c] = now
             p = link[p]
         if p >= 0:
@@ -61,10 +70,10 @@ def automaton(line: list[int], width: int) -> list[list[int]]:
                 link[now] = q
             else:
                 copy = len(after)
-                after.append(list(after[q]))
+                after.append(dict(after[q]))
                 link.append(link[q])
                 length.append(length[p] + 1)
-                while p >= 0 and after[p][c] == q:
+                while p >= 0 and after[p].get(c) == q:
                     after[p][c] = copy
                     p = link[p]
                 link[q] = link[now] = copy
@@ -72,104 +81,228 @@ def automaton(line: list[int], width: int) -> list[list[int]]:
     return after
 
 
+def double_array(after: list[dict[int, int]], width: int, tries: int = 16) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(offset of each state, state that owns a cell, where it leads): a state's transition by c is in cell offset + c, if that is its own.
+
+    States of several transitions come first, at one of ``tries`` places after
+    the last one's or at the end; single ones fill the holes.
+    """
+    owner, leads = [-1] * (3 * width + tries), [0] * (3 * width + tries)
+    offset, hint, free, top = [0] * len(after), 0, width, 0  # cells from top on are free
+    for state in sorted(range(len(after)), key=lambda s: -len(after[s])):
+        codes = list(after[state])
+        if not codes:
+            continue
+        if len(codes) > 1:
+            for at in range(hint, hint + tries):
+                if all(owner[at + c] < 0 for c in codes):
+                    break
+            else:
+                at = top
+            hint = at
+        else:
+            while owner[free] >= 0:
+                free += 1
+            at = free - codes[0]
+        offset[state] = at
+        for c, to in after[state].items():
+            owner[at + c], leads[at + c] = state, to
+        top = max(top, at + max(codes) + 1)
+        if (more := top + 2 * width + tries - len(owner)) > 0:
+            more += len(owner) // 2
+            owner += [-1] * more
+            leads += [0] * more
+    used = max(offset) + width
+    return np.array(offset, np.int32), np.array(owner[:used], np.int32), np.array(leads[:used], np.int32)
+
+
 class CrossParser:
-    """The automata of all languages in one table: (next state, phrases that end) for each state and symbol."""
-
-    def __init__(self, samples: dict[str, list[str]]):
-        letters = Counter(c for texts in samples.values() for t in texts for c in t.lower() if c.isalpha())
-        #: 0: a letter of no sample; 1: blank; 2: between two texts of a sample, in no text.
-        self.alphabet = {c: i for i, (c, _) in enumerate(sorted(letters.items(), key=lambda x: (-x[1], x[0]))[:LETTERS], 3)}
-        self.width, self.langs, self.roots, self.logs, steps, base = len(self.alphabet) + 3, [], [], [], [], 0
-        table = self.codes()
+    """The automata of all languages in one table, and the entropies beyond which texts are foreign."""
+
+    def __init__(self, samples: dict[str, list[str]], apart: dict[str, list[str]] | None = None):
+        #: All letters of all samples.
+        self.alphabet = {c: i for i, c in enumerate(sorted({c for texts in samples.values() for t in texts for c in t.lower() if c.isalpha()}), 3)}
+        width, self.langs, roots, self.logs, tables, base, cells = len(self.alphabet) + 3, [], [], [], [], 0, 0
+        codes = self.codes()
         for lang, texts in sorted(samples.items()):
-            line: list[int] = []
-            for t in texts:
-                line += [*symbols(t, table).tolist(), 2]
-                if len(line) >= SAMPLE_SYMBOLS:
-                    break
-            line = line[:SAMPLE_SYMBOLS]
-            after = np.array(automaton(line, self.width), np.int64)
-            root = after[0]
-            # Where the automaton stops, a phrase ends and the symbol begins the next; an unknown symbol is a phrase by itself.
-            fresh = np.where(root >= 0, root + base, base)
-            ended = np.where(root >= 0, 1, 2)[None, :] - (np.arange(len(after)) == 0)[:, None]
-            steps.append(np.where(after >= 0, (after + base) << 2, (fresh[None, :] << 2) | ended).astype(np.int32))
+            line = [c for t in texts for c in [*symbols(t, codes).tolist(), BORDER]]
+            offset, owner, leads = double_array(automaton(line), width)
+            tables.append((offset + cells, np.where(owner >= 0, owner + base, -1), leads + base))
             self.langs.append(lang)
-            self.roots.append(base)
+            roots.append(base)
             self.logs.append(math.log2(max(2, len(line))))
-            base += len(after)
-        self.steps = np.concatenate(steps).ravel() if steps else np.zeros(0, np.int32)
+            base, cells = base + len(offset), cells + len(owner)
+        self.offset, self.owner, self.leads = (np.concatenate([t[i] for t in tables]).astype(np.int32) if tables else np.zeros(0, np.int32) for i in range(3))
+        self.roots = np.array(roots, np.int32)
+        if (size := self.nbytes) > MOST_BYTES:
+            raise ValueError(f"the automata take {size} bytes, more than {MOST_BYTES}: learn from fewer or shorter rows")
+        self.ceilings = self.foreign_from(apart or {}, codes)
+
+    @property
+    def nbytes(self) -> int:
+        return self.offset.nbytes + self.owner.nbytes + self.leads.nbytes
 
     def codes(self) -> np.ndarray:
         """Symbol of each code point."""
         letters = np.fromiter((chr(c).isalpha() for c in range(0x110000)), bool, 0x110000)
-        table = np.where(letters, 0, 1).astype(np.uint8)
+        table = np.where(letters, UNKNOWN, BLANK).astype(np.int32)
         for c, i in self.alphabet.items():
             table[ord(c)] = i
         return table
 
+    def step(self, state: np.ndarray, root: np.ndarray, symbol: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(states after one more symbol, phrases that it ends).
+
+        Where the automaton stops, a phrase ends and the symbol begins the
+        next; a symbol that no sample has is a phrase by itself.
+        """
+        cell = self.offset[state] + symbol
+        out, ended = self.leads[cell], np.zeros(state.shape, np.int32)
+        lost = self.owner[cell] != state
+        if lost.any():
+            root, symbol = np.broadcast_to(root, state.shape)[lost], np.broadcast_to(symbol, state.shape)[lost]
+            cell = self.offset[root] + symbol
+            known = self.owner[cell] == root
+            out[lost] = np.where(known, self.leads[cell], root)
+            ended[lost] = (state[lost] != root).astype(np.int32) + ~known
+        return out, ended
+
     def phrases(self, lines: list[np.ndarray]) -> np.ndarray:
-        """Phrases of each line by each language."""
+        """Phrases of each line by each language.
+
+        Lines are parsed in blocks, all at once, each as if a phrase began
+        with it. Then each block is parsed again from the state in which the
+        one before it ended, until both parses are in one state, from where on
+        they are the same; where that is not before the block's end, the next
+        block follows.
+        """
         owner = np.concatenate([np.full(-(-len(x) // BLOCK), i) for i, x in enumerate(lines)] or [np.zeros(0, int)]).astype(np.int64)
         blocks = [x[i : i + BLOCK] for x in lines for i in range(0, len(x), BLOCK)]
         sizes = np.fromiter(map(len, blocks), np.int64, len(blocks))
-        order = np.argsort(-sizes, kind="stable")
         grid = np.zeros((BLOCK, len(blocks)), np.int32)
-        for column, i in enumerate(order):
-            grid[: sizes[i], column] = blocks[i]
+        for column, x in enumerate(blocks):
+            grid[: len(x), column] = x
+        order = np.argsort(-sizes, kind="stable")
         active = np.searchsorted(-sizes[order], -np.arange(1, BLOCK + 1), side="right")
-        roots = np.array(self.roots, np.int32)[:, None]
-        state = np.repeat(roots, len(blocks), 1)
-        count = np.zeros(state.shape, np.int32)
+        ordered, roots = grid[:, order], self.roots[:, None]
+        state, count = np.repeat(roots, len(blocks), 1), np.zeros((len(self.roots), len(blocks)), np.int64)
         for t in range(int(sizes.max(initial=0))):
             n = active[t]
-            got = self.steps[state[:, :n] * np.int32(self.width) + grid[t, :n]]
-            count[:, :n] += got & 3
-            state[:, :n] = got >> 2
-        count += state != roots
-        out = np.zeros((len(roots), len(lines)), np.int64)
-        for k in range(len(roots)):
-            np.add.at(out[k], owner[order], count[k])
+            state[:, :n], ended = self.step(state[:, :n], roots, ordered[t, :n])
+            count[:, :n] += ended
+        back = np.argsort(order)
+        ends, count = state[:, back], count[:, back]
+        alone, extra = ends.copy(), np.zeros_like(count)
+        first = np.concatenate(([True], owner[1:] != owner[:-1])) if len(owner) else np.zeros(0, bool)
+        redo = np.repeat(~first[None, :], len(self.roots), 0)
+        while redo.any():
+            lang, block = np.nonzero(redo)
+            redo[:] = False
+            root, now = self.roots[lang], ends[lang, block - 1]
+            free, more, live, end = root.copy(), np.zeros(len(lang), np.int64), np.arange(len(lang)), alone[lang, block]
+            for t in range(BLOCK):
+                live = live[now[live] != free[live]]
+                over = sizes[block[live]] == t
+                end[live[over]] = now[live[over]]
+                live = live[~over]
+                if not len(live):
+                    break
+                symbol = grid[t, block[live]]
+                now[live], a = self.step(now[live], root[live], symbol)
+                free[live], b = self.step(free[live], root[live], symbol)
+                more[live] += a - b
+            else:
+                live = live[now[live] != free[live]]
+                end[live] = now[live]
+            extra[lang, block] = more
+            changed = ends[lang, block] != end
+            ends[lang, block] = end
+            lang, block = lang[changed], block[changed] + 1
+            inside = (block < len(blocks)) & ~first[np.minimum(block, len(blocks) - 1)]
+            redo[lang[inside], block[inside]] = True
+        final = np.concatenate((first[1:], [True])) if len(owner) else first
+        count += extra + ((ends != roots) & final)
+        out = np.zeros((len(self.roots), len(lines)), np.int64)
+        for k in range(len(self.roots)):
+            np.add.at(out[k], owner, count[k])
         return out.T
 
-    def predict(self, texts: list[str | None], table: np.ndarray) -> list[tuple[str, float]]:
-        """(language, 1 - least / second least cross entropy); of equals, the first by name."""
+    def costs(self, texts: list[str], table: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(bits a symbol of each text by each language, symbols of each text)."""
+        lines = [symbols(t, table) for t in texts]
+        sizes = np.fromiter(map(len, lines), np.int64, len(lines))
+        return self.phrases(lines) * np.array(self.logs)[None, :] / np.maximum(sizes, 1)[:, None], sizes
+
+    def foreign_from(self, apart: dict[str, list[str]], table: np.ndarray) -> list[float]:
+        """Bits a symbol above which a text is foreign to each language.
+
+        Two thirds of the way from what the language's own rows cost at the
+        median to what the nearest other language's do; without either, no
+        text is foreign.
+        """
+        middle = {}
+        for lang in self.langs:
+            texts = [t for t in apart.get(lang, []) if len(symbols(t, table)) >= FEW_SYMBOLS]
+            if texts:
+                middle[lang] = np.median(self.costs(texts, table)[0], axis=0)
+        return [float(middle[lang][k] + 2 * min(m[k] for other, m in middle.items() if other != lang)) / 3 if lang in middle and len(middle) > 1 else math.inf for k, lang in enumerate(self.langs)]
+
+    def predict(self, texts: list[str | None], table: np.ndarray) -> list[tuple[str, float, bool]]:
+        """(language, 1 - least / second least cross entropy, whether the text is foreign to it); of equals, the first by name."""
         named = [i for i, t in enumerate(texts) if t and any(map(str.isalpha, t))] if self.langs else []
-        out = [(UND, 0.0)] * len(texts)
-        lines = [symbols(texts[i], table) for i in named]
-        for i, line, phrases in zip(named, lines, self.phrases(lines), strict=True):
-            costs = sorted((p * g / len(line), lang) for p, g, lang in zip(phrases.tolist(), self.logs, self.langs, strict=True))
-            out[i] = costs[0][1], round(1 - costs[0][0] / costs[1][0], 6) if len(costs) > 1 else 1.0
+        out = [(UND, 0.0, True)] * len(texts)
+        costs, sizes = self.costs([texts[i] or "" for i in named], table)
+        best = np.argmin(costs, axis=1) if named else []
+        for i, row, size, k in zip(named, costs, sizes.tolist(), best, strict=True):
+            low = np.sort(row)
+            out[i] = self.langs[k], round(float(1 - low[0] / low[1]), 6) if len(low) > 1 else 1.0, bool(size >= FEW_SYMBOLS and row[k] > self.ceilings[k])
         return out
 
 
-def sample(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> dict[str, list[str]]:
-    """Texts to learn from, by language: the first SAMPLE_ROWS by a hash of id and text among labelled rows that aren't held out.
+def sample(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> tuple[dict[str, list[str]], dict[str, list[str]]]:
+    """(texts to learn from, texts kept apart) by language: whole labelled rows that aren't held out, in the order of a hash of id and text.
 
     Counts by language come first; a hash threshold then leaves about four
-    times the rows wanted, so that what reaches the driver is bounded.
+    times the rows wanted, so that what reaches the driver is bounded: rows of
+    at most SAMPLE_SYMBOLS characters, and the shortest one of a language
+    that has no others.
     """
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), F.col(lang_col).cast("string").alias("lang")).where(F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}") & ~held_out())
-    counts = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count("*").alias("n")).collect()}
+    size, fits = F.char_length("text"), F.char_length("text") <= SAMPLE_SYMBOLS
+    counts = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count_if(fits).alias("n")).collect()}
     if not counts:
-        return {}
-    whole = 1 << 30
+        return {}, {}
+    whole, wanted = 1 << 30, 4 * (SAMPLE_ROWS + APART_ROWS)
     rank = F.pmod(F.xxhash64("doc_id", "text"), F.lit(whole))
-    upto = F.create_map(*[F.lit(x) for lang, n in counts.items() for x in (lang, whole if n <= 4 * SAMPLE_ROWS else math.ceil(whole * 4 * SAMPLE_ROWS / n))])
-    picked = rows.where(rank < upto[F.col("lang")]).select("lang", rank.alias("rank"), F.substring("text", 1, SAMPLE_CHARS).alias("text")).collect()
+    upto = F.create_map(*[F.lit(x) for lang, n in counts.items() for x in (lang, whole if n <= wanted else math.ceil(whole * wanted / n))])
+    picked = rows.where(fits & (rank < upto[F.col("lang")])).select("lang", rank.alias("rank"), "text").collect()
     out: dict[str, list[str]] = {}
+    apart: dict[str, list[str]] = {}
+    held: dict[str, int] = {}
     for r in sorted(picked, key=lambda r: (r["lang"], r["rank"], r["text"])):
-        if len(out.setdefault(r["lang"], [])) < SAMPLE_ROWS:
-            out[r["lang"]].append(r["text"])
-    return out
+        lang, n = r["lang"], held.get(r["lang"], 0)
+        if n < SAMPLE_SYMBOLS and len(out.get(lang, [])) < SAMPLE_ROWS:
+            out.setdefault(lang, []).append(r["text"])
+            held[lang] = n + len(r["text"])
+        elif r["text"] not in out[lang] and len(apart.get(lang, [])) < APART_ROWS:
+            apart.setdefault(lang, []).append(r["text"])
+    if only := [lang for lang, n in counts.items() if not n]:
+        shortest = rows.where(F.col("lang").isin(only)).groupBy("lang").agg(F.min(F.struct(size.alias("size"), "text")).alias("one"))
+        out |= {r["lang"]: [r["text"]] for r in shortest.select("lang", "one.text").collect()}
+    return out, apart
+
+
+def learn(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> CrossParser:
+    return CrossParser(*sample(docs, id_col, text_col, lang_col))
 
 
 def identify(docs: DataFrame, parser: CrossParser, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, held_out, lang_pred, score (0 to 1) of every row.
+    """doc_id, held_out, lang_pred, score (0 to 1), is_foreign of every row.
 
     ``und`` with score 0 for null texts, texts without a letter, and where
-    nothing was learned. Whole texts are parsed; labels and other columns are
-    not looked at. No shuffle.
+    nothing was learned. is_foreign: the winner's entropy is above what its
+    own texts have (see ``foreign_from``). Whole texts are parsed; labels and
+    other columns are not looked at. No shuffle.
     """
     held = docs.sparkSession.sparkContext.broadcast(parser)
 
@@ -179,25 +312,38 @@ def identify(docs: DataFrame, parser: CrossParser, id_col: str = "doc_id", text_
 
         def work(ids: list, texts: list) -> dict:
             found = model.predict(texts, table)
-            return {"doc_id": ids, "lang_pred": [x[0] for x in found], "score": [x[1] for x in found]}
+            return {"doc_id": ids, "lang_pred": [x[0] for x in found], "score": [x[1] for x in found], "is_foreign": [x[2] for x in found]}
 
         return work
 
-    found = map_texts(keyed_text(docs, id_col, text_col), make, "doc_id bigint, lang_pred string, score double")
-    return found.select("doc_id", held_out().alias("held_out"), "lang_pred", "score")
+    found = map_texts(keyed_text(docs, id_col, text_col), make, "doc_id bigint, lang_pred string, score double, is_foreign boolean")
+    return found.select("doc_id", held_out().alias("held_out"), "lang_pred", "score", "is_foreign")
+
 
+def keep_identified(docs: DataFrame, parser: CrossParser, asked: set[str] | None = None, text_col: str = "text", lang_col: str = "lang") -> DataFrame:
+    """Rows whose predicted language is asked for (None: any learned one) and to which their text is not foreign.
 
-def keep_identified(docs: DataFrame, parser: CrossParser, text_col: str = "text") -> DataFrame:
-    """docs without the rows whose language is UND; rows are dropped where they are read, all columns stay."""
+    A null label is filled with the prediction, where there is such a column
+    of strings. Other columns and labels stay; ``und`` goes. No shuffle.
+    """
     held = docs.sparkSession.sparkContext.broadcast(parser)
     at = docs.columns.index(text_col)
+    label = docs.columns.index(lang_col) if lang_col in docs.columns and docs.schema[lang_col].dataType.typeName() == "string" else None
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import pyarrow.compute as pc
+
         model = held.value
         table = model.codes()
         for batch in batches:
-            for i in range(0, batch.num_rows, SLICE_ROWS):
-                part = batch.slice(i, SLICE_ROWS)
-                yield part.filter(pa.array([lang != UND for lang, _ in model.predict(part.column(at).to_pylist(), table)]))
+            ends = np.cumsum(pc.fill_null(pc.binary_length(batch.column(at)), 0).to_numpy(zero_copy_only=False))
+            borders = [0, *(np.flatnonzero(np.diff(ends // SLICE_CHARS)) + 1).tolist(), batch.num_rows]
+            for a, b in zip(borders, borders[1:], strict=False):
+                part = batch.slice(a, b - a)
+                found = model.predict(part.column(at).to_pylist(), table)
+                if label is not None:
+                    filled = pc.coalesce(part.column(label), pa.array([x[0] for x in found], part.column(label).type))
+                    part = part.set_column(label, part.schema.field(label), filled)
+                yield part.filter(pa.array([lang != UND and not foreign and (asked is None or lang in asked) for lang, _, foreign in found], pa.bool_()))
 
     return docs.mapInArrow(run, docs.schema)

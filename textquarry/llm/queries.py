@@ -32,7 +32,7 @@ def op4_quality_llr(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op5_cross_parsing_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    return langid.identify(docs, langid.CrossParser(langid.sample(docs)))
+    return langid.identify(docs, langid.learn(docs))
 
 
 def op6_hash_tree_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
