@@ -11,10 +11,16 @@ from textquarry.llm.queries import BYTE_BPE, PII_KEY
 from textquarry.llm.runtime import durable
 from textquarry.session import table
 
+#: Languages that are kept, as a set of labels; None: all that the labelled documents teach.
+LANGUAGES = None
+
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops documents in which no language can be told: null texts and those without a letter."""
-    return langid.keep_identified(docs, langid.CrossParser(langid.sample(docs)))
+    """Keeps documents in the languages asked for; drops those foreign to all learned ones, null texts and those without a letter.
+
+    A null label becomes the predicted language.
+    """
+    return langid.keep_identified(docs, langid.learn(docs), LANGUAGES)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
