@@ -316,14 +316,16 @@ def test_feistel_is_a_permutation(spark):
 
 def slow_containment(docs, items):
     words = lambda t: [w for w in re.split(r"[^\w]+|_", (t or "").lower()) if w]
-    grams = lambda t: {" ".join(w[i : i + 5]) for w in [words(t)] for i in range(len(w) - 4)}
-    out = []
+    grams = lambda w, k: {" ".join(w[i : i + k]) for i in range(len(w) - k + 1)}
+    out, wanted = [], []
+    for j, u in items:
+        w = words(u)
+        if w:
+            wanted.append((j, min(5, len(w)), grams(w, min(5, len(w)))))
     for i, t in docs:
-        has = grams(t)
-        for j, u in items:
-            item = grams(u)
-            if item and 1000 * len(has & item) >= 800 * len(item):
-                out.append((i, j, len(item), len(has & item)))
+        w = words(t)
+        has = {k: grams(w, k) for k in range(1, 6)}
+        out += [(i, j, len(item), len(has[k] & item)) for j, k, item in wanted if 1000 * len(has[k] & item) >= 800 * len(item)]
     return sorted(out, key=lambda x: (x[0] is None, x))
 
 
@@ -339,6 +341,8 @@ def test_decontamination(spark, make_docs, edge, edge_rows):
             if words:
                 words[r.randrange(len(words))] = "changed"
         docs.append((100 + k, ", ".join([*prose(r.randint(0, 300)), *words, *prose(r.randint(0, 50))]).upper()))
+    items += [(20, "France is Paris, today"), (21, "w1"), (22, "w2 w3"), (23, "w1"), *((30 + j, f"p{j} q r s t u") for j in range(300))]
+    docs += [(300, "so france is paris today."), (301, "paris is"), (302, "france is paris todays"), (303, " ".join(f"p{j} q r s t u" for j in range(300)))]
     found = decontam.matches(make_docs(docs), spark.createDataFrame(items, "item_id bigint, text string"))
     got = sorted(((x["doc_id"], x["item_id"], x["n_item"], x["n_shared"]) for x in found.collect()), key=lambda x: (x[0] is None, x))
     assert got == slow_containment(docs, items) and len(got) > 20
