@@ -1,6 +1,8 @@
 """Edge cases of the functions, by hand."""
 
 import re
+import time
+from html.parser import HTMLParser
 from urllib.parse import urljoin
 
 import pytest
@@ -10,6 +12,7 @@ from textquarry.functions import chunks, dates, encoding, redact, similarity
 from textquarry.functions import html as H
 from textquarry.functions import text as T
 from textquarry.functions import url as U
+from textquarry.operators import extract
 
 
 def apply(spark, values, make, kind="string"):
@@ -24,26 +27,92 @@ def test_normalize_ws(spark):
     assert apply(spark, EDGE, T.normalize_ws) == [None if v is None else " ".join(v.split()) for v in EDGE]
 
 
+#: The rules as plain patterns, in order.
+PLAIN = (
+    ("email", r"[a-zA-Z0-9_.+-]+@[a-zA-Z0-9-]+\.[a-zA-Z0-9-.]+", "[EMAIL REDACTED]"),
+    ("long_number", r"\b\d{10,}\b", "[PHONE NUMBER REDACTED]"),
+    ("phone", r"\+?\d{1,3}[-.\s]?\(?\d{1,4}\)?[-.\s]?\d{1,4}[-.\s]?\d{1,9}", "[PHONE NUMBER REDACTED]"),
+    ("card", r"\b\d{4}[-\s]?\d{4}[-\s]?\d{4}[-\s]?\d{4}\b", "[CREDIT CARD REDACTED]"),
+    ("date_dmy", r"\b\d{1,2}[-/]\d{1,2}[-/]\d{2,4}\b", "[DATE REDACTED]"),
+    ("date_ymd", r"\b\d{4}[-/]\d{2}[-/]\d{2}\b", "[DATE REDACTED]"),
+    ("name", r"\b[A-Z][a-z]+(?:\s[A-Z][a-z]+)*\b", "[NAME REDACTED]"),
+)
+PRIVATE = [*EDGE, "a@b.c_x@d.e", "x@y.z@w.v", "Jean Dupont2 Abc Def", "Jean André", "A Bc De Fgh1 Ij", "9 Ab\nCd", "@a.b c@d", "Ab Cd é", "tel 01 23 45 67 89, 5-6-2024", "." * 50 + "@x.y"]
+
+
 def test_redact_is_pythons(spark):
     def want(v):
-        for _, pattern, mask in redact.RULES:
+        for _, pattern, mask in PLAIN:
             v = re.sub(pattern, mask, v)
         return v
 
-    assert apply(spark, EDGE, redact.redact) == [None if v is None else want(v) for v in EDGE]
+    assert apply(spark, PRIVATE, redact.redact) == [None if v is None else want(v) for v in PRIVATE]
+
+
+@pytest.mark.parametrize(("name", "pattern", "mask"), PLAIN)
+def test_redact_one_rule(spark, name, pattern, mask):
+    assert apply(spark, PRIVATE, lambda c: redact.redact(c, name)) == [None if v is None else re.sub(pattern, mask, v) for v in PRIVATE]
+
+
+@pytest.mark.parametrize("text", ["Abc " * 300_000, "a." * 500_000, "x@" + "a." * 500_000 + "com", "1" * 1_000_000, "12 " * 300_000, "Ab" * 500_000], ids=["names", "dots", "mail", "ones", "numbers", "mixed"])
+def test_redact_long_texts(spark, text):
+    start = time.time()
+    assert apply(spark, [text], redact.redact)[0] is not None
+    assert apply(spark, [text], lambda c: F.regexp_extract(c, extract.EMAIL, 0))[0] is not None
+    assert time.time() - start < 40
+
+
+class Texts(HTMLParser):
+    """Text nodes outside of scripts and styles, and targets of anchors, by the standard library."""
+
+    def __init__(self):
+        super().__init__()
+        self.out, self.links, self.inside = [], [], 0
+
+    def handle_starttag(self, tag, attrs):
+        self.inside = tag in ("script", "style")
+        if tag == "a" and (href := dict(attrs).get("href")) is not None:
+            self.links.append(href)
+
+    def handle_endtag(self, tag):
+        self.inside = False
+
+    def handle_data(self, data):
+        if not self.inside:
+            self.out.append(data)
+
+
+PAGES = [
+    "<p>a<script>var x='<b>';</script>b<style>p{}</style><!-- c -->&amp;d &eacute;</p>", "", None, "a < b", "<a href=\"/x\">1</a><a class='y' href=\"z\">2</a>",
+    "&#8217;&#x2019;&rsquo; &uuml;&copy &notit; &bogus; &", "<a href='q'>1</a><a href=u>2</a><a title=\"x>y\" href = 'v&amp;w'>3</a><A HREF=\"W\">4</A><a>5</a><a data-href='n'>6</a><abbr href='n'>7</abbr>",
+    "<!-- <a href='no'>x</a> --> 1 <SCRIPT>let a = \"<a href='no'>\";</SCRIPT >2<br/>3", "x<b\nclass='c'\n>y</b\n>", "<!DOCTYPE html><html><head><title>T</title></head><body>é <img alt='>'>z</body>",
+]
+
+
+def test_html_is_the_standard_librarys(spark, sf_dir):
+    real = [r["html"] for r in spark.read.parquet(f"{sf_dir}/pages.parquet").collect()]
+    texts, links = apply(spark, PAGES + real, H.html_to_text), apply(spark, PAGES + real, H.links)
+    for page, text, found in zip(PAGES + real, texts, links, strict=True):
+        if page is None:
+            assert text is None and found is None
+            continue
+        want = Texts()
+        want.feed(page)
+        want.close()
+        assert text == "".join(want.out) and found == want.links
 
 
-@pytest.mark.parametrize("name", [r[0] for r in redact.RULES])
-def test_redact_one_rule(spark, name):
-    pattern, mask = next((p, m) for n, p, m in redact.RULES if n == name)
-    assert apply(spark, EDGE, lambda c: redact.redact(c, name)) == [None if v is None else re.sub(pattern, mask, v) for v in EDGE]
+@pytest.mark.parametrize("page", ["<script>" * 125_000, "<a " * 300_000, "<a href='" * 100_000, "<!--" * 250_000, "&" * 1_000_000, "<style>" + "</styl" * 160_000, "<a href=\"x\">" * 80_000], ids=["scripts", "tags", "quotes", "comments", "refs", "style", "anchors"])
+def test_html_of_long_pages(page):
+    start = time.time()
+    H.text_of(page)
+    list(H.links_of(page))
+    assert time.time() - start < 10
 
 
-def test_html(spark):
-    pages = ["<p>a<script>var x='<b>';</script>b<style>p{}</style><!-- c -->&amp;d &eacute;</p>", "", None, "a < b", "<a href=\"/x\">1</a><a class='y' href=\"z\">2</a>"]
-    assert apply(spark, pages, lambda c: H.html_to_text(c)) == ["ab&d é", "", None, "a < b", "12"]
-    assert apply(spark, pages, H.links)[-1] == ["/x", "z"]
-    assert apply(spark, ['<a class="other" href="n">x</a><a href="u" class="big inline-link">x</a>', "<p>"], lambda c: H.first_link(c, "inline-link")) == ["u", None]
+def test_first_matches(spark):
+    pages = ['<a class="other" href="n">x</a><a href="u" class="big inline-link">x</a>', "<p>", "<a class=inline-link href='v'>", "<a class='inline-link2' href='v'>"]
+    assert apply(spark, pages, lambda c: H.first_link(c, "inline-link")) == ["u", None, "v", None]
     assert apply(spark, ['<div class="c"> <b>hi</b> </div>', "<div></div>"], lambda c: H.first_element_text(c, "div")) == ["hi", None]
 
 

@@ -7,13 +7,15 @@ from pyspark.sql import functions as F
 
 #: Rule, pattern, mask, in the order in which they apply. Fixed values. Years and parts of card numbers fall to the phone rule first.
 RULES = (
-    ("email", r"[a-zA-Z0-9_.+-]+@[a-zA-Z0-9-]+\.[a-zA-Z0-9-.]+", "[EMAIL REDACTED]"),
+    # Only from where a run of its characters begins, or the last match ended: nowhere else can one match.
+    ("email", r"(?:(?<![a-zA-Z0-9_.+-])|\G)[a-zA-Z0-9_.+-]++@[a-zA-Z0-9-]++\.[a-zA-Z0-9-.]++", "[EMAIL REDACTED]"),
     ("long_number", r"\b\d{10,}\b", "[PHONE NUMBER REDACTED]"),
     ("phone", r"\+?\d{1,3}[-.\s]?\(?\d{1,4}\)?[-.\s]?\d{1,4}[-.\s]?\d{1,9}", "[PHONE NUMBER REDACTED]"),
     ("card", r"\b\d{4}[-\s]?\d{4}[-\s]?\d{4}[-\s]?\d{4}\b", "[CREDIT CARD REDACTED]"),
     ("date_dmy", r"\b\d{1,2}[-/]\d{1,2}[-/]\d{2,4}\b", "[DATE REDACTED]"),
     ("date_ymd", r"\b\d{4}[-/]\d{2}[-/]\d{2}\b", "[DATE REDACTED]"),
-    ("name", r"\b[A-Z][a-z]+(?:\s[A-Z][a-z]+)*\b", "[NAME REDACTED]"),
+    # Possessive, each word with its own border: the engine would recurse for each word of a long list of names.
+    ("name", r"\b[A-Z][a-z]++\b(?:\s[A-Z][a-z]++\b)*+", "[NAME REDACTED]"),
 )
 
 

@@ -16,6 +16,7 @@ def is_blank(text: Column) -> Column:
 
 
 def strip_control(text: Column) -> Column:
+    """The class of characters is a fixed value."""
     return F.regexp_replace(text, r"[\x00-\x08\x0B\x0C\x0E-\x1F\x7F]", "")
 
 
@@ -58,7 +59,7 @@ def render(template: str, **values: Column) -> Column:
 
 
 def parse_summary(text: Column) -> dict[str, Column]:
-    """Name, status, place and functions of a directory entry; '' where there is none."""
+    """Name, status, place and functions of a directory entry; '' where there is none. The patterns are fixed values."""
     text = F.trim(F.replace(text, F.lit(" "), F.lit(" ")))
     text = F.regexp_replace(text, r"^\s+|\s+$", "")
     return {

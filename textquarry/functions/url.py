@@ -7,7 +7,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
-#: Host to label. Fixed values.
+#: Host to label; below, the characters of file names. Fixed values.
 SITE_TYPES = {"facebook.com": "Facebook", "instagram.com": "Instagram", "twitter.com": "Twitter", "linkedin.com": "LinkedIn", "youtube.com": "YouTube", "tiktok.com": "TikTok", "soundcloud.com": "SoundCloud", "bandcamp.com": "Bandcamp"}
 OTHER_SITE = "Site personnel"
 
@@ -31,7 +31,7 @@ def website_type(url: Column) -> Column:
 
 def is_valid_url(url: Column) -> Column:
     """http, https or ftp with a host that has a dot or is localhost."""
-    return F.coalesce(url.rlike(r"(?i)^(?:https?|ftp)://(?:[^\s/?#@]+@)?(?:[\p{L}\p{N}](?:[\p{L}\p{N}-]*[\p{L}\p{N}])?\.)+[\p{L}]{2,63}(?::\d{1,5})?(?:[/?#]\S*)?$") | url.rlike(r"(?i)^(?:https?|ftp)://(?:localhost|\d{1,3}(?:\.\d{1,3}){3})(?::\d{1,5})?(?:[/?#]\S*)?$"), F.lit(False))
+    return F.coalesce(url.rlike(r"(?i)^(?:https?|ftp)://(?:[^\s/?#@]+@)?(?:[\p{L}\p{N}](?:[\p{L}\p{N}-]*[\p{L}\p{N}])?\.)++[\p{L}]{2,63}(?::\d{1,5})?(?:[/?#]\S*)?$") | url.rlike(r"(?i)^(?:https?|ftp)://(?:localhost|\d{1,3}(?:\.\d{1,3}){3})(?::\d{1,5})?(?:[/?#]\S*)?$"), F.lit(False))
 
 
 def resolve(base: Column, href: Column) -> Column:

@@ -49,7 +49,7 @@ def http_fetcher(timeout: float = 10.0) -> Fetcher:
 
 
 #: What the rules look for. Own choices, for corpora of associations' sites.
-EMAIL = r"[A-Za-z0-9_.+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+"
+EMAIL = r"(?<![A-Za-z0-9_.+-])[A-Za-z0-9_.+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++"
 PRICE = r"(\d{1,7})(?:[.,]\d+)? ?(?:€|EUR|euros?)"
 
 

@@ -20,11 +20,24 @@ def ws_sql(x: str) -> str:
     return f"trim(regexp_replace({x}, '{_SPACE}', ' ', 'g'))"
 
 
+#: The oracle's own account of HTML: elements without text, comments, tags, and the references that the tables' pages have.
+_NO_TEXT = (r"(?is)<script\b[^>]*>.*?</script\s*>", r"(?is)<style\b[^>]*>.*?</style\s*>", r"(?s)<!--.*?-->", r"(?s)</?[a-zA-Z!][^>]*>")
+_REFERENCES = {"lt": "<", "gt": ">", "quot": '"', "#39": "\'\'", "nbsp": "\u00a0", "copy": "\u00a9", "middot": "\u00b7", "hellip": "\u2026", "mdash": "\u2014", "eacute": "\u00e9", "euro": "\u20ac", "amp": "&"}
+
+
+def html_text_sql(html: str) -> str:
+    for pattern in _NO_TEXT:
+        html = f"regexp_replace({html}, '{pattern}', '', 'g')"
+    for name, char in _REFERENCES.items():
+        html = f"replace({html}, '&{name};', '{char}')"
+    return html
+
+
 def docs(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "documents")
 
 
-@query(f"SELECT page_id, {H.html_to_text_sql('html')} AS text FROM pages")
+@query(f"SELECT page_id, {html_text_sql('html')} AS text FROM pages")
 def html_to_text(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "pages").select("page_id", H.html_to_text(F.col("html")).alias("text"))
 
@@ -37,7 +50,7 @@ def html_links(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "pages").select("page_id", F.array_join(H.links(F.col("html")), " ").alias("links"))
 
 
-@query("SELECT page_id, nullif(regexp_extract(regexp_extract(html, '(?is)<a\\s[^>]*class=\"[^\"]*\\bad\\b[^>]*>', 0), 'href=\"([^\"]*)\"', 1), '') AS url, nullif(trim(" + H.html_to_text_sql("regexp_extract(html, '(?is)<h1\\b[^>]*>(.*?)</h1\\s*>', 1)") + "), '') AS title FROM pages")
+@query("SELECT page_id, nullif(regexp_extract(regexp_extract(html, '(?is)<a\\s[^>]*class=\"[^\"]*\\bad\\b[^>]*>', 0), 'href=\"([^\"]*)\"', 1), '') AS url, nullif(trim(" + html_text_sql("regexp_extract(html, '(?is)<h1\\b[^>]*>(.*?)</h1\\s*>', 1)") + "), '') AS title FROM pages")
 def html_first_match(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "pages").select("page_id", H.first_link(F.col("html"), "ad").alias("url"), H.first_element_text(F.col("html"), "h1").alias("title"))
 
@@ -47,7 +60,7 @@ def internal_links(spark: SparkSession, d: str) -> DataFrame:
     return site.internal_links(table(spark, d, "pages"))
 
 
-@query(f"""SELECT site, count(*) AS n_pages, string_agg(text, '' ORDER BY url) AS text FROM (SELECT regexp_extract(url, '^([^:/?#]+://[^/?#]*)', 1) AS site, url, {ws_sql(H.html_to_text_sql('html'))} AS text FROM pages) WHERE text <> '' GROUP BY site""")
+@query(f"""SELECT site, count(*) AS n_pages, string_agg(text, '' ORDER BY url) AS text FROM (SELECT regexp_extract(url, '^([^:/?#]+://[^/?#]*)', 1) AS site, url, {ws_sql(html_text_sql('html'))} AS text FROM pages) WHERE text <> '' GROUP BY site""")
 def site_text_concat(spark: SparkSession, d: str) -> DataFrame:
     return site.site_texts(table(spark, d, "pages"))
 
@@ -71,8 +84,12 @@ def _bordered(x: str, pattern: str, mask: str) -> str:
     return f"replace(replace(regexp_replace({_B.format(x=x)}, '{pattern}', '{mask}', 'g'), chr(1), ''), chr(2), '')"
 
 
+#: What each rule puts in, as the oracle has it.
+_MASKS = {"email": "[EMAIL REDACTED]", "name": "[NAME REDACTED]", "card": "[CREDIT CARD REDACTED]", "long_number": "[PHONE NUMBER REDACTED]", "phone": "[PHONE NUMBER REDACTED]", "date_dmy": "[DATE REDACTED]", "date_ymd": "[DATE REDACTED]"}
+
+
 def _redact_sql(x: str, name: str) -> str:
-    pattern, mask = next((p, m) for n, p, m in redact.RULES if n == name)
+    mask = _MASKS[name]
     if name == "name":
         return _bordered(x, "\\x01[A-Z][a-z]+\\x02(?:\\s\\x01[A-Z][a-z]+\\x02)*", mask)
     if name == "long_number":
@@ -83,6 +100,7 @@ def _redact_sql(x: str, name: str) -> str:
     if name.startswith("date"):
         digits = ("\\d{1,2}", "\\d{1,2}", "\\d{2,4}") if name == "date_dmy" else ("\\d{4}", "\\d{2}", "\\d{2}")
         return _bordered(x, "\\x01" + "\\x02[-/]\\x01".join(digits) + "\\x02", mask)
+    pattern = {"email": "[a-zA-Z0-9_.+-]+@[a-zA-Z0-9-]+\\.[a-zA-Z0-9-.]+", "phone": "\\+?\\d{1,3}[-.\\s]?\\(?\\d{1,4}\\)?[-.\\s]?\\d{1,4}[-.\\s]?\\d{1,9}"}[name]
     return f"regexp_replace({x}, '{pattern}', '{mask}', 'g')"
 
 
@@ -123,7 +141,10 @@ def _urls(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "pages").select("url").union(spark.createDataFrame([(u,) for u in extra], "url string"))
 
 
-@query(f"SELECT url, CASE replace(regexp_extract(url, '^[^:/?#]+://([^/?#]*)', 1), 'www.', '') " + " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in U.SITE_TYPES.items()) + f" ELSE '{U.OTHER_SITE}' END AS website_type FROM ({_URLS})")
+_LABELS = {"facebook": "Facebook", "instagram": "Instagram", "twitter": "Twitter", "linkedin": "LinkedIn", "youtube": "YouTube", "tiktok": "TikTok", "soundcloud": "SoundCloud", "bandcamp": "Bandcamp"}
+
+
+@query(f"SELECT url, CASE replace(regexp_extract(url, '^[^:/?#]+://([^/?#]*)', 1), 'www.', '') " + " ".join(f"WHEN '{k}.com' THEN '{v}'" for k, v in _LABELS.items()) + f" ELSE 'Site personnel' END AS website_type FROM ({_URLS})")
 def website_type(spark: SparkSession, d: str) -> DataFrame:
     return _urls(spark, d).select("url", U.website_type(F.col("url")).alias("website_type"))
 
