@@ -1,5 +1,6 @@
 """WARC, quality, language, shards, personal data, decontamination and the pipeline."""
 
+import gzip
 import hashlib
 import math
 import random
@@ -51,12 +52,43 @@ def test_warc(spark, tmp_path):
     assert warc.derive(source.where("false")).count() == 0
 
 
-def test_warc_responses_are_read(spark, tmp_path):
-    record = lambda kind, i, body: f"WARC/1.1\r\nWARC-Type: {kind}\r\nWARC-Record-ID: <urn:uuid:{i}>\r\nWARC-Target-URI: http://a.example/{i}\r\nWARC-Date: 2024-01-01T00:00:00Z\r\n\r\n{body}\r\n\r\n"
-    (tmp_path / "a.warc").write_text(record("warcinfo", 0, "x: y") + record("response", 1, "HTTP/1.1 200 OK\r\nA: b\r\n\r\n<p>one</p>") + record("response", 2, "HTTP/1.1 404 No\r\n\r\ntwo"), newline="")
-    got = warc.read_responses(spark, str(tmp_path / "a.warc")).orderBy("record_id").collect()
-    assert [(r["target_uri"], r["http_headers"]) for r in got] == [("http://a.example/1", "HTTP/1.1 200 OK\r\nA: b"), ("http://a.example/2", "HTTP/1.1 404 No")]
-    assert got[0]["payload"] == "<p>one</p>" and got[1]["payload"].strip() == "two"
+BODIES = [b"<p>one</p>", b"a\r\n\r\nWARC/1.1\r\nWARC-Type: response\r\n\r\nx", b"", b"\xff\x00\r\n\r\n", b"long " * 700_000, b"last\r\n"]
+
+
+@pytest.mark.parametrize("packed", ["plain", "members", "whole"])
+def test_warc_responses_are_read(spark, tmp_path, packed):
+    def record(kind, i, block):
+        return f"WARC/1.1\r\nWARC-Type: {kind}\r\nwarc-record-id: <urn:uuid:{i}>\r\nWARC-Target-URI: http://a.example/\r\n {i}\r\nWARC-Date: 2024-01-01T00:00:00Z\r\nContent-Length: {len(block)}\r\n\r\n".encode() + block + b"\r\n\r\n"
+
+    records = [record("warcinfo", 99, b"x: y\r\n")] + [record("response", i, b"HTTP/1.1 200 OK\r\nA: b\r\n\r\n" + body) for i, body in enumerate(BODIES)]
+    data = {"plain": b"".join(records), "members": b"".join(map(gzip.compress, records)), "whole": gzip.compress(b"".join(records))}[packed]
+    (tmp_path / "a.warc").write_bytes(data)
+    (tmp_path / "b.warc").write_bytes(data[: len(data) // 3])  # a file that breaks off
+    got = [r for r in warc.read_responses(spark, str(tmp_path / "a.warc")).orderBy("record_id").collect()]
+    assert [(r["record_id"], r["target_uri"], r["http_headers"], bytes(r["payload"])) for r in got] == [(f"<urn:uuid:{i}>", f"http://a.example/ {i}", "HTTP/1.1 200 OK\r\nA: b", body) for i, body in enumerate(BODIES)]
+    assert warc.read_responses(spark, str(tmp_path / "b.warc")).count() < len(BODIES)
+    made = warc.derive(warc.read_responses(spark, str(tmp_path / "a.warc"))).where("type = 'conversion'").collect()
+    assert {r["source_digest"] for r in made} == {"sha256:" + hashlib.sha256(b).hexdigest() for b in BODIES}
+
+
+def test_many_headers_and_repeated_responses(spark):
+    head = "HTTP/1.1 200 OK\r\n" + "\r\n".join(f"H{i}: v" for i in range(100_001)) + "\r\nContent-Type: text/html; charset=iso-8859-1"
+    row = ("<urn:uuid:1>", "http://a.example/", "2024-01-01T00:00:00Z", head, b"caf\xe9<a href='x'>y</a>")
+    made = warc.derive(spark.createDataFrame([row, row], "record_id string, target_uri string, date string, http_headers string, payload binary")).collect()
+    assert len(made) == 4 and len({r["record_id"] for r in made}) == 2
+    block = next(r["block"] for r in made if r["type"] == "metadata")
+    assert block.count("source-header: ") == 100_002 and "H100000: v" in block and "outlink: x\r\n" in block
+    assert {r["block"] for r in made if r["type"] == "conversion"} == {"caféy"}
+
+
+def test_records_that_are_written_are_read(spark, tmp_path):
+    pages = spark.createDataFrame([(i, f"http://a.example/{i}", f"<p>{i}\r\n\r\né</p>\r\n") for i in range(40)], "page_id bigint, url string, html string")
+    made = warc.derive(warc.responses(pages)).withColumn("headers", F.replace("headers", F.lit("WARC-Type: conversion"), F.lit("WARC-Type: response"))).cache()
+    warc.write_records(made, str(tmp_path / "out"))
+    got = {r["record_id"]: bytes(r["payload"]) if r["payload"] else r["http_headers"].encode() for r in warc.read_responses(spark, str(tmp_path / "out")).collect()}
+    want = {r["record_id"]: r["block"].encode() for r in made.where("type = 'conversion'").collect()}
+    assert got.keys() == want.keys() and len(got) == 40
+    assert all(want[k].endswith(v) for k, v in got.items())
 
 
 def slow_base(text):

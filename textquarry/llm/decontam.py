@@ -101,7 +101,11 @@ def matches(docs: DataFrame, items: DataFrame, threshold: float = THRESHOLD, n:
 
     # A document meets its candidates TOGETHER at a time, so that its shingles are worked out once for all of them.
     chosen = found.join(wanted.select("nr", "item_id", "short", "item"), "nr").groupBy("doc_id", "text_hash", F.shiftright("nr", TOGETHER).alias("__lot")).agg(F.collect_list(F.struct("item_id", "short", "item")).alias("items"))
-    both = texts.join(chosen, texts["doc_id"].eqNullSafe(chosen["doc_id"]) & (texts["text_hash"] == chosen["text_hash"])).select(texts["doc_id"], texts["text_hash"], "text", "items")
+    same = lambda a, b: a["doc_id"].eqNullSafe(b["doc_id"]) & (a["text_hash"] == b["text_hash"])
+    # Texts that have no candidate go first, by ids alone.
+    near = found.select("doc_id", "text_hash").distinct()
+    held = texts.join(near, same(texts, near), "left_semi")
+    both = held.join(chosen, same(held, chosen)).select(held["doc_id"], held["text_hash"], "text", "items")
 
     def shared(has: Column) -> Column:
         count = lambda x: F.when(x["short"] > 0, F.contains(has["line"], F.concat(F.lit(" "), F.get(x["item"], F.lit(0)), F.lit(" "))).cast("int")).otherwise(F.size(F.array_intersect(has["shingles"], x["item"])))

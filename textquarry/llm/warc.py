@@ -10,10 +10,15 @@ name: a job that runs again makes the same records.
 
 from __future__ import annotations
 
+import zlib
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from textquarry.functions.html import html_to_text, html_to_text_sql, links
+from textquarry.functions.html import html_to_text, links
+from textquarry.plans.texts import html_text_sql
 
 SOFTWARE = "textquarry"
 #: Between the records of a file.
@@ -38,44 +43,130 @@ def responses(pages: DataFrame, date: str = "2024-01-01T00:00:00Z", id_col: str
     return pages.select(F.col(id_col).alias("page_id"), record_id(F.lit("response"), url, digest(body)).alias("record_id"), url.alias("target_uri"), F.lit(date).alias("date"), headers.alias("http_headers"), body.alias("payload"))
 
 
+def records_of(data: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
+    """(named fields in lower case, block) of each record of a WARC file, gzipped (in one or many members) or not.
+
+    A block has as many bytes as its Content-Length says, whatever they are.
+    What follows the last whole record is left out.
+    """
+    chunks, held, at = _inflated(data), bytearray(), 0
+
+    def fill(n: int) -> bool:
+        """Whether ``n`` bytes from ``at`` on are there."""
+        nonlocal at
+        while len(held) - at < n:
+            if at > 1 << 20:
+                del held[:at]
+                at = 0
+            more = next(chunks, None)
+            if more is None:
+                return False
+            held.extend(more)
+        return True
+
+    while True:
+        while fill(1) and held[at] in b"\r\n":
+            at += 1
+        looked = at
+        while (end := held.find(b"\r\n\r\n", looked)) < 0:
+            have, was = len(held) - at, at
+            if not fill(have + 1):
+                return
+            looked = max(at, looked - (was - at) - 3)
+        version, *lines = held[at:end].decode("utf-8", "replace").split("\r\n")
+        fields: dict[str, str] = {}
+        name = ""
+        for line in lines:
+            if line[:1] in " \t" and name:  # a folded line
+                fields[name] += " " + line.strip()
+            elif ":" in line:
+                name, value = line.split(":", 1)
+                name = name.strip().lower()
+                fields[name] = value.strip()
+        at = end + 4
+        length = fields.get("content-length", "")
+        if not version.startswith("WARC/") or not length.isdigit() or not fill(int(length)):
+            return
+        yield fields, bytes(held[at : at + int(length)])
+        at += int(length)
+
+
+def _inflated(data: bytes, step: int = 1 << 20) -> Iterator[bytes]:
+    view = memoryview(data)
+    if data[:2] != b"\x1f\x8b":
+        yield from (bytes(view[i : i + step]) for i in range(0, len(data), step))
+        return
+    while data[:2] == b"\x1f\x8b":
+        member, rest = zlib.decompressobj(31), data
+        while not member.eof and rest:
+            out = member.decompress(rest, step)
+            rest = member.unconsumed_tail
+            if not out and not rest:
+                break
+            yield out
+        data = member.unused_data
+
+
+def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(content) of files -> their responses, in batches of bounded size."""
+    names = ["record_id", "target_uri", "date", "http_headers", "payload"]
+    types = [pa.string()] * 4 + [pa.binary()]
+    for batch in batches:
+        for content in batch.column(0):
+            out, size = [], 0
+            for fields, block in records_of(content.as_py()):
+                if fields.get("warc-type", "").lower() == "response":
+                    head, _, payload = block.partition(b"\r\n\r\n")
+                    out.append((*(fields.get(f"warc-{x}", "").strip() for x in ("record-id", "target-uri", "date")), head.decode("utf-8", "replace"), payload))
+                    size += len(block)
+                    if size > 8_000_000:
+                        yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in out], t) for i, t in enumerate(types)], names)
+                        out, size = [], 0
+            if out:
+                yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in out], t) for i, t in enumerate(types)], names)
+
+
 def read_responses(spark: SparkSession, path: str) -> DataFrame:
-    """Responses of uncompressed or gzipped WARC files of text, by Spark's own reader.
+    """Responses of WARC files, uncompressed or gzipped: record_id, target_uri, date, http_headers, payload (binary).
 
-    A record ends with two line ends before the next version line; files are
-    cut there, so one long file is read by many tasks (not if gzipped).
+    Records are read by their Content-Length, so a file is one task's work;
+    files of the usual gigabyte are many enough to share out. Spark reads
+    files up to 2 GB this way.
     """
-    raw = spark.read.option("lineSep", BREAK + "WARC/1.").text(path)
-    # The version line of all but a file's first record went with the separator.
-    head, rest = F.substring_index("value", BREAK, 1), F.expr(r"substring(value, length(substring_index(value, '\r\n\r\n', 1)) + 5)")
-    field = lambda name: F.trim(F.regexp_extract(head, rf"(?im)^{name}:[ \t]*([^\r\n]*)", 1))
-    found = raw.select(field("WARC-Type").alias("type"), field("WARC-Record-ID").alias("record_id"), field("WARC-Target-URI").alias("target_uri"), field("WARC-Date").alias("date"), rest.alias("block")).where("type = 'response'")
-    return found.select("record_id", "target_uri", "date", F.substring_index("block", BREAK, 1).alias("http_headers"), F.expr(r"substring(block, length(substring_index(block, '\r\n\r\n', 1)) + 5)").alias("payload"))
+    files = spark.read.format("binaryFile").load(path).select("content")
+    return files.mapInArrow(_read, "record_id string, target_uri string, date string, http_headers string, payload binary")
+
+
+def decoded(payload: Column, http_headers: Column) -> Column:
+    """The payload as text: UTF-8, bytes that are none replaced, unless the headers name Latin-1."""
+    latin = http_headers.rlike(r"(?im)^content-type:[^\r\n]*charset *= *[\"']?(?:iso-8859-1|latin-?1|windows-1252)\b")
+    return F.when(latin, F.decode(payload.cast("binary"), "ISO-8859-1")).otherwise(F.make_valid_utf8(payload.cast("string")))
 
 
 def derive(found: DataFrame) -> DataFrame:
     """Two records for each response: the response's extra columns, and type, record_id, refers_to, target_uri, date, content_type, headers, block.
 
-    Needs record_id, target_uri, date, http_headers and payload; null ones are
-    taken as empty. Repeated responses give repeated records. One pass, no
-    shuffle.
+    Needs record_id, target_uri, date, http_headers and payload (text or
+    binary); null ones are taken as empty. Digests are of the payload's bytes.
+    Repeated responses give repeated records. One pass, no shuffle.
     """
     own = ("record_id", "target_uri", "date", "http_headers", "payload")
-    extra = [c for c in found.columns if c not in (*own, "type", "refers_to", "content_type", "headers", "block", "source_digest", "block_digest", "source_block_digest", "made")]
+    extra = [c for c in found.columns if c not in (*own, "type", "refers_to", "content_type", "headers", "block", "source_digest", "block_digest", "source_block_digest", "made", "page", "metadata_id", "conversion_id")]
     src = found.select(*extra, *[F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in own])
-    src = src.withColumns({"source_digest": digest(F.col("payload")), "source_block_digest": digest(F.concat("http_headers", F.lit(BREAK), "payload")), "metadata_id": record_id(F.lit("metadata"), F.col("record_id")), "conversion_id": record_id(F.lit("conversion"), F.col("record_id"))})
+    src = src.withColumns({"source_digest": digest(F.col("payload")), "source_block_digest": digest(F.concat("http_headers", F.lit(BREAK), "payload")), "metadata_id": record_id(F.lit("metadata"), F.col("record_id")), "conversion_id": record_id(F.lit("conversion"), F.col("record_id")), "page": decoded(F.col("payload"), F.col("http_headers"))})
     # Header lines are folded into fields of their own; line ends within would end the field.
     fields = F.concat(
         F.lit("source-status: "), F.substring_index("http_headers", "\r\n", 1),
-        F.array_join(F.transform(F.slice(F.split("http_headers", "\r\n"), 2, 100_000), lambda h: F.concat(F.lit("\r\nsource-header: "), h)), ""),
+        F.array_join(F.transform(F.slice(F.split("http_headers", "\r\n"), F.lit(2), F.size(F.split("http_headers", "\r\n"))), lambda h: F.concat(F.lit("\r\nsource-header: "), h)), ""),
         F.lit("\r\nsource-payload-digest: "), "source_digest", F.lit("\r\nsource-block-digest: "), "source_block_digest",
         F.lit("\r\nconversion-record: "), "conversion_id",
-        F.array_join(F.transform(links(F.col("payload")), lambda u: F.concat(F.lit("\r\noutlink: "), F.regexp_replace(u, r"[\r\n]+", " "))), ""), F.lit("\r\n"),
+        F.array_join(F.transform(links(F.col("page")), lambda u: F.concat(F.lit("\r\noutlink: "), F.regexp_replace(u, r"[\r\n]+", " "))), ""), F.lit("\r\n"),
     )
 
     def record(kind: str, own_id: str, other: str, content: str, block: Column) -> Column:
         return F.struct(F.lit(kind).alias("type"), F.col(own_id).alias("record_id"), F.col(other).alias("concurrent_to"), F.lit(content).alias("content_type"), block.alias("block"))
 
-    made = F.array(record("metadata", "metadata_id", "conversion_id", "application/warc-fields", fields), record("conversion", "conversion_id", "metadata_id", "text/plain; charset=utf-8", html_to_text(F.col("payload"))))
+    made = F.array(record("metadata", "metadata_id", "conversion_id", "application/warc-fields", fields), record("conversion", "conversion_id", "metadata_id", "text/plain; charset=utf-8", html_to_text(F.col("page"))))
     out = src.select(*extra, F.col("record_id").alias("refers_to"), "target_uri", "date", "source_digest", "source_block_digest", F.explode(made).alias("made"))
     out = out.select(*extra, "made.type", "made.record_id", "refers_to", "made.concurrent_to", "target_uri", "date", "made.content_type", "source_digest", "source_block_digest", digest(F.col("made.block")).alias("block_digest"), F.octet_length("made.block").cast("bigint").alias("content_length"), "made.block")
     return out.withColumn("headers", F.concat(
@@ -102,6 +193,6 @@ SELECT page_id, 'metadata' AS type, mid AS record_id, cid AS concurrent_to, refe
 || chr(13) || chr(10) || 'source-payload-digest: ' || source_digest || chr(13) || chr(10) || 'source-block-digest: ' || source_block_digest || chr(13) || chr(10) || 'conversion-record: ' || cid
 || coalesce(array_to_string(list_transform(regexp_extract_all(html, '(?i)<a\s[^>]*?href="([^"]*)"', 1), lambda u: chr(13) || chr(10) || 'outlink: ' || regexp_replace(u, '[\r\n]+', ' ', 'g')), ''), '') || chr(13) || chr(10) AS block FROM b
 UNION ALL
-SELECT page_id, 'conversion', cid, mid, refers_to, url, source_digest, source_block_digest, {html_to_text_sql("html")} FROM b)
+SELECT page_id, 'conversion', cid, mid, refers_to, url, source_digest, source_block_digest, {html_text_sql("html")} FROM b)
 SELECT page_id, type, record_id, concurrent_to, refers_to, target_uri, source_digest, source_block_digest, 'sha256:' || sha256(block) AS block_digest, strlen(block) AS content_length, block FROM m
 """
