@@ -261,7 +261,7 @@ def test_only_long_texts_to_learn_from(make_docs):
 
 def test_shards(make_docs, edge, edge_rows):
     docs = make_docs([(i, "t" * (i % 90)) for i in range(4000)] + [(5, "again"), (None, None)])
-    found = sharding.shard(docs, sharding.layout(24), sharding.layout(25)).collect()
+    found = sharding.shard(docs, sharding.layout(24), sharding.grow(sharding.layout(24))).collect()
     assert len(found) == 4002
     for s in range(24):
         slots = sorted(r["slot"] for r in found if r["shard"] == s)
@@ -287,12 +287,33 @@ def slow_draw(key, node, path=""):
 def test_shards_by_brute_force(spark, sf_dir):
     texts = spark.read.parquet(f"{sf_dir}/documents.parquet").collect()
     got = {r["doc_id"]: tuple(r)[1:] for r in queries.QUERIES["op6_hash_tree_shards"](spark, sf_dir).collect()}
-    place = lambda i: (int(hashlib.md5(f"slot/{i}".encode()).hexdigest()[:13], 16), i)
+    facts = {r["doc_id"]: (len((r["text"] or "").encode()) + 8, zlib.crc32((r["text"] or "").encode())) for r in texts}
+    place = lambda i: (int(hashlib.md5(f"slot/{i}/{facts[i][0]}/{facts[i][1]}".encode()).hexdigest()[:13], 16), i)
     where = {r["doc_id"]: slow_draw(r["doc_id"], sharding.layout(24)) for r in texts}
     order = {s: sorted((i for i in where if where[i] == s), key=place) for s in range(24)}
     for r in texts:
         i, data = r["doc_id"], (r["text"] or "").encode()
-        assert got[i] == (len(data) + 8, zlib.crc32(data), "key", where[i], order[where[i]].index(i), slow_draw(i, sharding.layout(25)))
+        assert got[i] == (len(data) + 8, zlib.crc32(data), "key", where[i], order[where[i]].index(i), slow_draw(i, sharding.grow(sharding.layout(24))))
+
+
+@pytest.mark.parametrize("n", range(1, 61, 3))
+def test_one_more_shard_takes_rows_only_into_itself(n):
+    tree = sharding.layout(n)
+    more = sharding.grow(tree)
+    moved = [(slow_draw(i, tree), slow_draw(i, more)) for i in range(600)]
+    assert all(a == b or b == n for a, b in moved) and {b for _, b in moved} <= set(range(n + 1))
+    assert 0.4 * 600 / (n + 1) - 4 < sum(b == n for _, b in moved) < 1.8 * 600 / (n + 1) + 8
+    again = sharding.grow(more)
+    assert all(b == n + 1 or b == slow_draw(i, more) for i, b in ((i, slow_draw(i, again)) for i in range(300)))
+
+
+def test_slots_of_a_hot_id(spark, monkeypatch):
+    monkeypatch.setattr(sharding, "LOT", 100)
+    docs = spark.range(3000).select(F.when(F.col("id") % 3 != 0, F.col("id")).alias("doc_id"), F.lit("same").alias("text"))
+    found = sharding.shard(docs, sharding.layout(24)).collect()
+    assert len(found) == 3000 and len({r["shard"] for r in found if r["doc_id"] is None}) == 1
+    for s in range(24):
+        assert sorted(r["slot"] for r in found if r["shard"] == s) == list(range(sum(r["shard"] == s for r in found)))
 
 
 def test_a_weight_moves_rows_only_in_its_subtree(spark):

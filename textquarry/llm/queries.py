@@ -36,7 +36,7 @@ def op5_cross_parsing_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_hash_tree_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return sharding.shard(table(spark, sf_dir, "documents"), sharding.layout(24), sharding.layout(25))
+    return sharding.shard(table(spark, sf_dir, "documents"), sharding.layout(24), sharding.grow(sharding.layout(24)))
 
 
 def op7_covering_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -28,10 +28,10 @@ def keyed_text(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     return docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
 
 
-def map_texts(docs: DataFrame, make: Callable[[], Callable[[list, list], dict]], schema: str) -> DataFrame:
+def map_texts(docs: DataFrame, make: Callable[[], Callable[[list, list], dict]], schema: str, keys: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """Apply ``make()(ids, texts) -> columns`` to slices of bounded size of (doc_id, text).
 
-    ``make`` runs once in each task, so that loaded models are shared by the
+    With several keys, ids are a list for each of them. ``make`` runs once in each task, so that loaded models are shared by the
     slices. Each row's text is handled whole; a slice holds about
     SLICE_CHARS characters or one longer text.
     """
@@ -42,19 +42,20 @@ def map_texts(docs: DataFrame, make: Callable[[], Callable[[list, list], dict]],
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         work = make()
         for batch in batches:
-            ids, texts = batch.column(0), batch.column(1)
+            ids, texts = [batch.column(i) for i in range(len(keys))], batch.column(len(keys))
             start, size = 0, 0
             lengths = pa.compute.fill_null(pa.compute.binary_length(texts), 0).to_pylist()
             for i, length in enumerate(lengths):
                 size += length
                 if size >= SLICE_CHARS or i + 1 == len(lengths):
-                    out = work(ids.slice(start, i + 1 - start).to_pylist(), texts.slice(start, i + 1 - start).to_pylist())
+                    of = [x.slice(start, i + 1 - start).to_pylist() for x in ids]
+                    out = work(of if len(keys) > 1 else of[0], texts.slice(start, i + 1 - start).to_pylist())
                     yield pa.RecordBatch.from_arrays([pa.array(out[f.name], type=f.type) for f in arrow], schema=arrow)
                     start, size = i + 1, 0
 
     import pyarrow.compute  # noqa: F401  (pa.compute is used above)
 
-    return docs.select("doc_id", "text").mapInArrow(run, struct)
+    return docs.select(*keys, "text").mapInArrow(run, struct)
 
 
 def shared_folder(spark: SparkSession) -> str:

@@ -17,6 +17,10 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 
+#: Slots of rows that are alike, given out at once.
+LOT = 1 << 14
+
+
 @dataclass(frozen=True)
 class Node:
     """A shard (``shard`` set) or a group of nodes. Names are unique among siblings."""
@@ -28,17 +32,22 @@ class Node:
 
 
 def layout(n: int, rack: int = 4, region: int = 2) -> Node:
-    """Shards 0 to n - 1 of weight 1 in racks of ``rack``, racks in regions of ``region``, filled in order.
-
-    Where the last region is full, as with 24 shards of the defaults, one more
-    shard opens a region of its own: no weight that is there changes, and rows
-    move into the new shard only.
-    """
+    """Shards 0 to n - 1 of weight 1 in racks of ``rack``, racks in regions of ``region``, filled in order."""
     racks = [Node(f"k{i}", min(rack, n - rack * i), tuple(Node(f"s{s}", 1, shard=s) for s in range(rack * i, min(n, rack * (i + 1))))) for i in range(math.ceil(n / rack))]
     regions = [Node(f"r{i}", sum(k.weight for k in racks[region * i : region * (i + 1)]), tuple(racks[region * i : region * (i + 1)])) for i in range(math.ceil(len(racks) / region))]
     return Node("root", n, tuple(regions))
 
 
+def grow(tree: Node) -> Node:
+    """The tree with one more shard, in a region of its own: no weight that is there changes, so rows move into the new shard only."""
+
+    def highest(node: Node) -> int:
+        return node.shard if node.shard is not None else max(map(highest, node.children))
+
+    new = highest(tree) + 1
+    return Node(tree.name, tree.weight + 1, (*tree.children, Node(f"r{len(tree.children)}", 1, (Node(f"s{new}", 1, shard=new),))))
+
+
 def uniform(*parts: Column) -> Column:
     """In (0, 1), from the first 52 bits of the MD5 of the parts."""
     return (F.conv(F.substring(F.md5(F.concat_ws("/", *parts)), 1, 13), 16, 10).cast("double") + F.lit(0.5)) / F.lit(float(1 << 52))
@@ -71,25 +80,31 @@ def shard(docs: DataFrame, tree: Node, grown: Node | None = None, id_col: str =
 
     size: UTF-8 bytes of the text (null: none) plus 8; text_crc32 of a null
     text is that of the empty one. A null id is a key of its own. slot numbers
-    a shard's rows from 0 without gaps, in the order of a hash of the id (then
-    the id, size and checksum), so it does not depend on how rows are dealt out.
-
-    Numbering is in two levels. A shard's rows are dealt to sub-ranges of the
-    hash, as many as make the groups fit the session's shuffle partitions;
-    counts per sub-range give where each starts. Texts aren't shuffled: 40
-    bytes a row are. Repeated ids get the same shard and different slots.
+    a shard's rows from 0 without gaps, in the order of a hash of id, size and
+    checksum (then these), so it does not depend on how rows are dealt out.
+
+    Rows that agree in all of this are counted first and numbered together,
+    so a repeated or null id is no hot key. Numbering is in two levels: a
+    shard's rows are dealt to sub-ranges of the hash, as many as make the
+    groups fit the session's shuffle partitions; counts per sub-range, at most
+    shards times sub-ranges of them, are broadcast and give where each starts.
+    Texts aren't shuffled: 40 bytes a row are.
     """
     spark = docs.sparkSession
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     key = F.coalesce(F.col(id_col).cast("string"), F.lit("null"))
     rows = docs.select(F.col(id_col).alias("doc_id"), (F.octet_length(text).cast("bigint") + 8).alias("size"), F.crc32(text.cast("binary")).alias("text_crc32"), key.alias("key"))
-    rows = rows.withColumns({"shard": draw(F.col("key"), tree), "grown_shard": draw(F.col("key"), grown) if grown else F.lit(None).cast("int"), "place": F.conv(F.substring(F.md5(F.concat_ws("/", F.lit("slot"), "key")), 1, 13), 16, 10).cast("bigint")})
+    rows = rows.withColumns({"shard": draw(F.col("key"), tree), "grown_shard": draw(F.col("key"), grown) if grown else F.lit(None).cast("int"), "place": F.conv(F.substring(F.md5(F.concat_ws("/", F.lit("slot"), "key", F.col("size").cast("string"), F.col("text_crc32").cast("string"))), 1, 13), 16, 10).cast("bigint")})
     leaves = max(1, int(tree.weight))
     parts = 1 << max(2, math.ceil(math.log2(4 * int(spark.conf.get("spark.sql.shuffle.partitions")) / leaves + 1)))
     rows = rows.withColumn("sub", F.shiftright("place", 52 - int(math.log2(parts))).cast("int")).drop("key")
-    # At most leaves x parts rows, whatever the input: counted where the rows are, then added up along each shard.
+    alike = rows.groupBy(*rows.columns).agg(F.count("*").alias("times"))
+    # Counted where the rows are, then added up along each shard.
     before = rows.groupBy("shard", "sub").agg(F.count("*").alias("n"))
     before = before.withColumn("start", F.sum("n").over(Window.partitionBy("shard").orderBy("sub")) - F.col("n")).drop("n")
-    within = F.row_number().over(Window.partitionBy("shard", "sub").orderBy("place", "doc_id", "size", "text_crc32")) - 1
-    slots = rows.withColumn("within", within).join(F.broadcast(before), ["shard", "sub"])
-    return slots.select("doc_id", "size", "text_crc32", F.lit("key").alias("law"), "shard", (F.col("start") + F.col("within")).cast("bigint").alias("slot"), "grown_shard")
+    within = F.sum("times").over(Window.partitionBy("shard", "sub").orderBy("place", "doc_id", "size", "text_crc32").rowsBetween(Window.unboundedPreceding, 0)) - F.col("times")
+    slots = alike.withColumn("within", within).join(F.broadcast(before), ["shard", "sub"]).withColumn("first", F.col("start") + F.col("within"))
+    # So many at once that no array of numbers is large.
+    many = F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("times") - 1, F.lit(LOT).cast("bigint")))
+    slots = slots.withColumn("lot", many).withColumn("at", F.explode(F.sequence("lot", F.least(F.col("times"), F.col("lot") + LOT) - 1)))
+    return slots.select("doc_id", "size", "text_crc32", F.lit("key").alias("law"), "shard", (F.col("first") + F.col("at")).cast("bigint").alias("slot"), "grown_shard")

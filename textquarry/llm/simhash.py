@@ -25,6 +25,8 @@ from textquarry.llm.components import components
 from textquarry.llm.runtime import durable, keyed_text, map_texts
 
 RADIUS, BITS, SHINGLE, SEED = 2, 64, 3, 42
+#: A fingerprint of as large a part of all rows is hot; there are no more than so many.
+HOT = 1000
 
 
 def masks() -> list[int]:
@@ -98,25 +100,29 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     least = found.groupBy("fp").agg(F.min("doc_id").alias("least"))
     named = least.join(classes, "fp").groupBy("root").agg(F.min("least").alias("component_id"))
     names = durable(classes.join(named, "root").select("fp", "component_id"))
-    return found.join(names, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+    # Fingerprints of one row in HOT or more: so few that they are broadcast, and so many rows that none may go to one task.
+    hot = durable(found.groupBy("fp").agg(F.count("*").alias("n")).where(F.col("n") * HOT >= found.count()).join(names, "fp").select("fp", "component_id"))
+    told = found.join(F.broadcast(hot), "fp").select("doc_id", "fp", "component_id").unionByName(found.join(F.broadcast(hot), "fp", "left_anti").join(names, "fp").select("doc_id", "fp", "component_id"))
+    return told.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """docs with one row left of each class: the one with the least id (nulls last), then the least hash of its text.
 
-    Columns stay as they are. Of rows that agree in id and text, one stays.
+    Columns stay as they are. Of rows that agree in id and text, one stays, chosen by a hash of the row.
     """
     key = F.xxhash64(F.col(text_col).cast("string"))
-    make = lambda: lambda ids, texts: {"doc_id": ids, "fp": [signed(fingerprint(t)) for t in texts]}
-    # A text's hash travels in its id's place beside the id, so that rows are found again whatever their ids.
-    rows = docs.select(F.struct(F.col(id_col).cast("bigint").alias("doc_id"), key.alias("text_hash")).alias("row"), F.col(text_col).cast("string").alias("text"))
-    found = durable(map_texts(rows.select(F.to_json("row", {"ignoreNullFields": "false"}).alias("doc_id"), "text"), make, "doc_id string, fp bigint").select(F.from_json("doc_id", "doc_id bigint, text_hash bigint").alias("row"), "fp").select("row.*", "fp"))
+    make = lambda: lambda ids, texts: {"doc_id": ids[0], "text_hash": ids[1], "fp": [signed(fingerprint(t)) for t in texts]}
+    # A text's hash goes with its id, so that rows are found again whatever their ids.
+    rows = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), key.alias("text_hash"), F.col(text_col).cast("string").alias("text"))
+    found = durable(map_texts(rows, make, "doc_id bigint, text_hash bigint, fp bigint", ("doc_id", "text_hash")))
     rank = F.struct(F.col("doc_id").isNull(), "doc_id", "text_hash")
     first = found.groupBy("fp").agg(F.min(rank).alias("first"))
     chosen = first.join(classes_of(found), "fp").groupBy("root").agg(F.min("first").alias("first")).select("first.doc_id", "first.text_hash")
     times = found.groupBy("doc_id", "text_hash").agg(F.count("*").alias("times"))
     chosen = durable(chosen.join(times, chosen["doc_id"].eqNullSafe(times["doc_id"]) & (chosen["text_hash"] == times["text_hash"])).select(chosen["doc_id"].alias("__id"), chosen["text_hash"].alias("__hash"), "times"))
     kept = docs.join(chosen, F.col(id_col).cast("bigint").eqNullSafe(F.col("__id")) & (key == F.col("__hash")))
-    # Only rows that are there several times have to meet.
-    again = kept.where("times > 1").dropDuplicates(["__id", "__hash"])
-    return kept.where("times = 1").unionByName(again).select(*docs.columns)
+    # Only rows that are there several times have to meet; a hash of all columns chooses, so that any task chooses alike.
+    whole = F.struct(*[kept[c] for c in docs.columns])
+    again = kept.where("times > 1").groupBy("__id", "__hash").agg(F.min_by(whole, F.xxhash64(*[kept[c] for c in docs.columns])).alias("one")).select("one.*")
+    return kept.where("times = 1").select(*docs.columns).unionByName(again)
