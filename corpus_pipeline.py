@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from textquarry.llm import bpe_trie, decontam, langid, pii, simhash
 from textquarry.llm.queries import BYTE_BPE, PII_KEY
-from textquarry.llm.runtime import durable
+from textquarry.llm.runtime import discard, durable
 from textquarry.session import table
 
 #: Languages that are kept, as a set of labels; None: all that the labelled documents teach.
@@ -52,7 +52,10 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    docs, before = table(spark, sf_dir, "documents"), None
     for _, stage in STAGES[:-1]:
         docs = durable(stage(spark, docs, sf_dir))
+        if before is not None:
+            discard(before)  # its successor has been written
+        before = docs
     return STAGES[-1][1](spark, docs, sf_dir)
