@@ -1,8 +1,11 @@
 """Operators, sources and sinks on small frames."""
 
+import http.server
 import json
 import random
+import threading
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -55,6 +58,28 @@ def test_upsert_twice_is_once(spark):
     assert values(once, "k") == values(joins.upsert(once, rows, "k"), "k") == [(1, "a"), (2, "c"), (3, "d")]
 
 
+def test_upsert_keeps_one_row_of_a_key(spark):
+    table, rows = spark.createDataFrame([(1, "a", 0)], "k int, v string, t int"), spark.createDataFrame([(1, "b", 2), (1, "c", 1), (2, "d", 0), (2, "d", 0)], "k int, v string, t int")
+    assert values(joins.upsert(table, rows, "k", "t"), "k") == [(1, "b", 2), (2, "d", 0)]
+    assert values(joins.upsert(table, rows, "k"), "k") == [(1, "c", 1), (2, "d", 0)]
+
+
+def test_quantiles(spark):
+    r = random.Random(1)
+    rows = [(r.random(), float(r.randrange(4)), None if i % 3 else i, None) for i in range(999)] + [(-5.0, 0.0, 7, None)]
+    df = spark.createDataFrame(rows, "a double, b double, c int, d double")
+    shares = {"p0": 0.0, "p1": 0.01, "q25": 0.25, "q50": 0.5, "p999": 0.999, "p100": 1.0}
+    got = {x["column"]: x for x in profile.quantiles(df, ["a", "b", "c", "d"], shares).collect()}
+    assert got.keys() == {"a", "b", "c"}
+    for k, name in enumerate("abc"):
+        own = [x[k] for x in rows if x[k] is not None]
+        assert got[name]["n"] == len(own)
+        for share, q in shares.items():
+            assert abs(got[name][share] - float(np.quantile(own, q))) < 1e-9
+    assert values(profile.describe(df.select("d", "b")).select("column", "count", "q50"), "column") == [("b", 1000, float(np.quantile([x[1] for x in rows], 0.5))), ("d", 0, None)]
+    assert values(profile.iqr_outliers(df, ["a", "d"]).select("column", "outliers"), "column") == [("a", 1), ("d", None)]
+
+
 def test_unprocessed(spark):
     texts = spark.createDataFrame([("h", "b", 1), ("h", "a", 2), ("i", "c", 3)], "hash string, file_name string, x int")
     assert values(joins.unprocessed(texts, spark.createDataFrame([("i",)], "hash string")), "hash") == [("h", "a", 2)]
@@ -68,7 +93,7 @@ def test_fuzzy(spark):
     assert dict((a, m) for a, m, _ in values(joins.fuzzy_best(left, right, "a", "match", 60), "a"))["Apple Inc."] == "Apple"
 
 
-@pytest.mark.parametrize("least", [95, 85, 50])
+@pytest.mark.parametrize("least", [95, 85, 84, 70, 50, 20])
 def test_fuzzy_misses_nothing(spark, least):
     r = random.Random(least)
     names = ["".join(r.choice("abc d") for _ in range(r.randint(1, 20))) for _ in range(24)]
@@ -116,6 +141,28 @@ def test_topic_gate(spark):
         topics.is_heterogeneous(df.withColumn("u", F.lit(1)), "t")
 
 
+def test_topics_of_texts(spark):
+    texts = ["red apple pie", "apple tart red", "green apple pie", "fast blue car", "blue car engine", "car blue wheel", None]
+    df = spark.createDataFrame(list(enumerate(texts)), "id int, t string")
+    out = {r["id"]: r for r in topics.annotate(df, "t", ["the"], k=2, label=lambda words: F.concat(F.lit("L "), F.element_at(words, 1))).collect()}
+    assert out[6]["t_topic"] == -1 and out[6]["t_topic_label"] is None and out[6]["t_topic_count"] == 1 and out[6]["t_Representative_Docs"] is None
+    for i in range(6):
+        same = [t for k, t in enumerate(texts) if t and out[k]["t_topic"] == out[i]["t_topic"]]
+        assert out[i]["t_topic_count"] == len(same) and out[i]["t_topic_label"].startswith("L ")
+        assert set(out[i]["t_Representative_Docs"]) <= set(same) and len(out[i]["t_Representative_Docs"]) == min(3, len(same))
+    assert topics.annotate(df.limit(1), "t", []).columns == df.columns
+    vectors = spark.createDataFrame([("a", [1.0, 0.0]), ("b", [0.0, 1.0]), ("c", [1.0, 1.0])], "word string, vector array<double>")
+    words = spark.createDataFrame([(1, w) for w in "abcd"], "topic int, word string")
+    assert [r["word"] for r in topics.rerank_words(words, vectors, spark.createDataFrame([(1, [0.0, 2.0])], "topic int, centroid array<double>"), "topic", 2).orderBy("rank").collect()] == ["b", "c"]
+
+
+def test_names_of_site_files(spark):
+    sites = spark.createDataFrame([("https://a.example", "A"), ("https://b.example", "B")], "site string, text string")
+    starts = spark.createDataFrame([("https://a.example/", "mine"), ("https://b.example/x", None)], "url string, file_name string")
+    assert values(site.site_files(sites, starts), "text") == [("mine", "A"), ("https___b_example_x", "B")]
+    assert values(site.site_files(sites, starts, generate=True), "text")[0] == ("https___a_example", "A")
+
+
 def test_files(spark, tmp_path):
     (tmp_path / "in").mkdir()
     (tmp_path / "in/a.txt").write_bytes("é\nx".encode())
@@ -150,10 +197,72 @@ def test_analyse_and_market(spark, tmp_path):
     assert [r["id"] for r in out.simple.orderBy("id").collect()] == [0, 1, 2] and out.children["functions"].count() == 3
     assert values(out.children["contact"].select("email"), "email") == [("x@y.fr",)]
     assert out.children["offers"].select("price").where("price = 12").count() == 1
+    assert market.subject(out, "offres").columns == ["id", "description"] and "name" in market.subject(out, "évènements").columns
     counts = spark.createDataFrame([("ONE!", 3)], "declarant_nom_usuel string, n int")
     assert values(market.enrich(out.simple, counts).select("name", "n").where("n IS NOT NULL"), "name") == [("One", 3)]
 
 
+def test_long_texts_keep_the_order_of_their_chunks(spark):
+    texts = spark.createDataFrame([("a", "zebra@z.fr one. " + "x. " * 100 + "middle@m.fr two. " + "y. " * 100 + "apple@a.fr"), ("b", None), ("c", "." * 500), ("d", "short s@s.fr"), ("e", "")], "file_name string, text string")
+    out = {r["file_name"]: r for r in extract.analyse(texts, schemas.empty(spark), extract.rule_extractor, 100, 60, 0).collect()}
+    assert {k: r["contact"]["email"] for k, r in out.items()} == {"a": "zebra@z.fr", "b": None, "c": None, "d": "s@s.fr", "e": None}
+    assert set(out) == set("abcde") and all(r["_error"] is None for r in out.values())
+
+
+def test_model_extractor(spark):
+    def ask(prompt):
+        text = prompt.removeprefix("Read: ")
+        if "boom" in text:
+            raise ValueError("no model")
+        if text == "[":
+            return "[1, 2]"
+        return {"odd": '{"objectives": 7}', "bad": "{"}.get(text, '{"association_name": "' + str(text.count("name")) + '", "objectives": ["o"]}')
+
+    ask.__module__ = "__main__"  # sent by value
+    model = extract.model_extractor(ask, "Read: {text}")
+    texts = spark.createDataFrame([("a", "name"), ("b", "boom"), ("c", "odd"), ("d", "bad"), ("e", None), ("f", "["), ("g", "name. " * 50 + "boom. " + "name. " * 50)], "file_name string, text string")
+    out = {r["file_name"]: r for r in extract.analyse(texts, schemas.empty(spark), model, 100, 60, 0).collect()}
+    assert set(out) == set("abcdefg")
+    assert out["a"]["association_name"] == "1" and out["a"]["objectives"] == ["o"] and out["a"]["offers"] == [] and out["a"]["_error"] is None
+    assert out["b"]["_error"] == "ValueError: no model" and "no record" in out["c"]["_error"] and "no record" in out["d"]["_error"] and out["e"]["_error"] is None and "no record" in out["f"]["_error"]
+    assert out["g"]["_error"] == "ValueError: no model" and int(out["g"]["association_name"]) > 5
+    df = extract.analyse(texts, schemas.empty(spark), model, 100, 60, 0)
+    assert [r["file_name"] for r in extract.failed(df).orderBy("file_name").collect()] == ["b", "c", "d", "f", "g"]
+
+
+def test_prompts_and_placeholders(spark, tmp_path):
+    files.write_prompt(spark, f"{tmp_path}/p.txt", "Name {what}: é")
+    assert files.read_prompt(spark, f"{tmp_path}/p.txt", what="it") == "Name it: é"
+    files.write_prompt(spark, f"{tmp_path}/p.txt", "new")
+    files.placeholders(spark, str(tmp_path / "d"), ["a.txt", "b.txt"])
+    assert files.read_prompt(spark, f"{tmp_path}/p.txt") == "new" and (tmp_path / "d/b.txt").read_bytes() == b"" and files.exists(spark, f"{tmp_path}/d") and not files.exists(spark, f"{tmp_path}/e")
+
+
+class Page(http.server.BaseHTTPRequestHandler):
+    def do_GET(self):  # noqa: N802
+        self.send_response(200 if self.path == "/ok" else 404)
+        self.end_headers()
+        self.wfile.write("é <b>".encode() + b"\xff")
+
+    def log_message(self, *args):
+        pass
+
+
+def test_pages_are_fetched(spark):
+    server = http.server.ThreadingHTTPServer(("127.0.0.1", 0), Page)
+    threading.Thread(target=server.serve_forever, daemon=True).start()
+    base = f"http://127.0.0.1:{server.server_port}"
+    urls = spark.createDataFrame([(f"{base}/ok",), (f"{base}/gone",), ("nonsense",), (f"{base}/ok",)], "url string")
+    assert values(extract.http_fetcher(5)(urls), "url") == [(f"{base}/gone", None), (f"{base}/ok", "é <b>\ufffd"), ("nonsense", None)]
+    server.shutdown()
+
+
+def test_golden_json(spark):
+    text = spark.range(1).select(nested.full_json(F.expr(schemas.default_entity_json()), pretty=True)).first()[0]
+    want = json.dumps(json.loads(spark.range(1).select(nested.full_json(F.expr(schemas.default_entity_json()))).first()[0]), indent=2)
+    assert json.loads(text) == json.loads(want) and text.replace(" :", ":").replace("[ ]", "[]").split() == want.split()
+
+
 def test_streaming(spark, tmp_path):
     folder, target, state = (str(tmp_path / x) for x in ("in", "out", "state"))
     (tmp_path / "in").mkdir()

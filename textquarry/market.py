@@ -16,6 +16,21 @@ from textquarry.operators.profile import with_row_id
 from textquarry.sources.files import read_texts
 
 
+#: Subject of a report: child table, label column, representation column, text column. Fixed values.
+SUBJECTS = {
+    "objectifs": ("objectives", "objectives_topic_label", "objectives_topic_representation", "objectives"),
+    "offres": ("offers", "description_topic_label", "description_topic_representation", "description"),
+    "évènements": ("events", None, None, None),
+}
+
+
+def subject(out: SplitResult, name: str) -> DataFrame:
+    """A subject's rows: id, label, representation and text; what the subject has no column for is left out."""
+    child, *columns = SUBJECTS[name]
+    table = out.children[child]
+    return table.select("id", *[c for c in columns if c in table.columns]) if any(columns) else table
+
+
 def run(spark: SparkSession, folders: list[str], directory: DataFrame, extract: Extractor = rule_extractor, done: DataFrame | None = None, separators: dict[str, str] | None = None, stop: list[str] | None = None, with_topics: bool = True) -> SplitResult:
     """Texts to records, joined to the directory by file_name, numbered, split, and annotated with topics.
 

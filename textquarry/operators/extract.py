@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Callable
 from typing import Protocol
 
@@ -12,6 +13,11 @@ from textquarry import schemas
 from textquarry.functions.chunks import chunk
 
 
+log = logging.getLogger(__name__)
+#: Column of what went wrong with a text; null where nothing did.
+ERROR = "_error"
+
+
 class Fetcher(Protocol):
     """(url) -> (url, html); html is null where fetching failed."""
 
@@ -87,13 +93,76 @@ def chunk_map_reduce(texts: DataFrame, key: str, extract: Callable[[Column], Col
     return parts.groupBy(key).agg(F.count("*").alias("n_chunks"), F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("pos", "part"))), lambda r: F.coalesce(r["part"], F.lit(""))), "\n").alias("parts"))
 
 
+def _filled(found: Column, given: dict[str, Column]) -> list[Column]:
+    """The entity record's columns from a parsed struct, and from those given; what is missing is null or empty."""
+    empty = lambda t: F.array().cast(t) if t.typeName() == "array" else F.lit(None).cast(t)
+    return [F.coalesce(given.get(x.name, found[x.name]).cast(x.dataType), empty(x.dataType)).alias(x.name) for x in schemas.struct_of(schemas.ENTITY)]
+
+
+def model_extractor(ask: Callable[[str], str], prompt: str = "{text}") -> Extractor:
+    """Entity records by a model: ``ask`` gets the prompt with {text} replaced and returns JSON.
+
+    Called in the executors, a batch of rows at a time. A call that fails, a
+    reply that isn't JSON of an object or has a field of another type than the
+    record's gives an empty record and says why in ``_error``; other rows go
+    on. Null texts aren't asked about.
+    """
+
+    def run(batches):
+        for pdf in batches:
+            replies, errors = [], []
+            for text in pdf["text"]:
+                try:
+                    replies.append(None if text is None else ask(prompt.replace("{text}", text)))
+                    errors.append(None)
+                except Exception as e:  # noqa: BLE001
+                    replies.append(None)
+                    errors.append(f"{type(e).__name__}: {e}")
+            yield pdf[["hash", "file_name"]].assign(reply=replies, error=errors)
+
+    def extract(texts: DataFrame) -> DataFrame:
+        asked = texts.select("hash", "file_name", "text").mapInPandas(run, "hash string, file_name string, reply string, error string")
+        wrong = "__wrong"
+        found = F.from_json("reply", f"{schemas.ENTITY}, {wrong} STRING", {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": wrong})
+        rows = asked.withColumn("__found", found)
+        bad = F.when(F.col("reply").isNotNull() & (F.col("__found").isNull() | F.col("__found")[wrong].isNotNull() | ~F.col("reply").rlike(r"^\s*\{")), F.concat(F.lit("the reply is no record: "), F.left("reply", F.lit(200))))
+        rows = rows.withColumn(ERROR, F.coalesce("error", bad)).withColumn("__found", F.when(F.col(ERROR).isNull(), F.col("__found")))
+        return rows.select(*_filled(F.col("__found"), {"hash": F.col("hash"), "file_name": F.col("file_name")}), ERROR)
+
+    return extract
+
+
+def failed(records: DataFrame) -> DataFrame:
+    """(hash, file_name, _error) of the texts that gave no record, to be written apart and tried again."""
+    return records.where(F.col(ERROR).isNotNull()).select("hash", "file_name", ERROR)
+
+
 def analyse(texts: DataFrame, done: DataFrame, extract: Extractor, long_text: int = 100_000, size: int = 30_000, overlap: int = 100) -> DataFrame:
-    """Records of the texts (file_name, text) whose hash isn't in done; long ones by way of their chunks."""
+    """Records, with ``_error``, of the texts (file_name, text) whose hash isn't in done; long ones by way of their chunks.
+
+    A long text's chunks are worked on by themselves; what is found in them,
+    as JSON in the order of the chunks, is the text that its record is made
+    from. Null texts and texts without a chunk have a record too. A chunk that
+    fails is left out, and the text's record says so.
+    """
     from textquarry.functions.text import text_hash
     from textquarry.operators.joins import unprocessed
 
     new = unprocessed(texts.withColumn("hash", text_hash(F.col("text"))), done)
-    short, long = new.where(F.char_length("text") < long_text), new.where(F.char_length("text") >= long_text)
-    pieces = extract(long.select("hash", "file_name", F.explode(chunk(F.col("text"), size, overlap)).alias("text")))
-    joined = pieces.groupBy("hash", "file_name").agg(F.array_join(F.array_sort(F.collect_list(F.to_json(F.struct(*[c for c in pieces.columns if c not in ("hash", "file_name")])))), "\n").alias("text"))
-    return extract(short.select("hash", "file_name", "text")).unionByName(extract(joined))
+    is_long = F.coalesce(F.char_length("text") >= long_text, F.lit(False))
+    short, long = new.where(~is_long), new.where(is_long)
+    # A chunk's position goes with the hash: an extractor hands on hash and name, nothing else.
+    chunks = long.select("hash", "file_name", F.posexplode_outer(chunk(F.col("text"), size, overlap)).alias("pos", "text"))
+    chunks = chunks.select(F.concat("hash", F.lit("#"), F.coalesce("pos", F.lit(0)).cast("string")).alias("hash"), "file_name", "text")
+    pieces = _with_error(extract(chunks))
+    found = F.to_json(F.struct(*[c for c in pieces.columns if c not in ("hash", "file_name", ERROR)]))
+    pieces = pieces.select(F.substring_index("hash", "#", 1).alias("hash"), "file_name", F.substring_index("hash", "#", -1).cast("int").alias("pos"), F.when(F.col(ERROR).isNull(), found).alias("found"), ERROR)
+    joined = pieces.groupBy("hash", "file_name").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("pos", "found"))), lambda r: r["found"]), "\n").alias("text"), F.min_by(ERROR, F.when(F.col(ERROR).isNotNull(), F.col("pos"))).alias("__error"))
+    whole = _with_error(extract(joined.select("hash", "file_name", "text"))).join(joined.select("hash", F.col("__error")), "hash", "left")
+    whole = whole.withColumn(ERROR, F.coalesce(ERROR, "__error")).drop("__error")
+    log.info("texts of %d characters and more go by chunks of %d", long_text, size)
+    return _with_error(extract(short.select("hash", "file_name", "text"))).unionByName(whole)
+
+
+def _with_error(records: DataFrame) -> DataFrame:
+    return records if ERROR in records.columns else records.withColumn(ERROR, F.lit(None).cast("string"))

@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from textquarry.functions.similarity import ratio, token_sort
 
 
-#: Scores from which fuzzy joins look for a piece that names share.
+#: Scores from which names meet on a piece that they share; below, on one of their rarer characters. No result depends on it.
 PIECES_FROM = 85
+#: Characters from rare to frequent; any order is right, this one makes few names meet.
+RARE = "zqxjkvbpygfwmucldhrsnioate "
 
 
 def left_join_new_columns(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
@@ -39,9 +41,16 @@ def unprocessed(texts: DataFrame, done: DataFrame, hash_col: str = "hash", name_
     return first.select(hash_col, "first.*").select(*texts.columns).join(done.select(hash_col), hash_col, "left_anti")
 
 
-def upsert(table: DataFrame, rows: DataFrame, key: str) -> DataFrame:
-    """table without the keys of rows, and rows; columns that one side lacks are null."""
-    return table.join(rows.select(key), key, "left_anti").unionByName(rows, allowMissingColumns=True)
+def upsert(table: DataFrame, rows: DataFrame, key: str, latest: str | None = None) -> DataFrame:
+    """table without the keys of rows, and rows; columns that one side lacks are null.
+
+    Of several new rows of one key, the one with the greatest ``latest``
+    stays, then the one with the greatest JSON.
+    """
+    whole = F.struct(*rows.columns)
+    order = F.struct(*([latest] if latest else []), F.to_json(whole))
+    one = rows.groupBy(F.col(key).alias("__key")).agg(F.max_by(whole, order).alias("__one")).select("__one.*")
+    return table.join(rows.select(key), key, "left_anti").unionByName(one, allowMissingColumns=True)
 
 
 def fuzzy_best(left: DataFrame, right: DataFrame, left_on: str, right_on: str, least: int = 95) -> DataFrame:
@@ -74,9 +83,8 @@ def fuzzy_best(left: DataFrame, right: DataFrame, left_on: str, right_on: str, l
     # Shifts that would begin before the text or end after it give pieces that are too short, which meet nothing.
     fits = lambda n, i, shift: (edge(n, i) + shift >= 0) & (edge(n, i + 1) + shift <= size)
     sought = F.flatten(F.transform(lengths, lambda n: F.flatten(F.transform(F.sequence(F.lit(0), changes(n)), lambda i: F.transform(F.filter(F.sequence(-changes(n), changes(n)), lambda d: fits(n, i, d)), lambda d: piece(F.col("__b"), n, i, d))))))
-    if least < PIECES_FROM:  # so many changes leave pieces of a character or none: names meet on their lengths
-        alone = lambda n: F.struct(n.alias("n"), F.lit(0).alias("i"), F.lit("").alias("s"))
-        pieces, sought = F.array(alone(whole)), F.transform(lengths, alone)
+    if least < PIECES_FROM:  # so many changes leave pieces of a character or none
+        pieces, sought = _rare(F.col("__a"), r), _rare(F.col("__b"), r)
     meet = rest.select(left_on, "__a", F.explode(pieces).alias("__p")).join(choices.select("match", "__b", F.explode(F.array_distinct(sought)).alias("__p")), "__p")
     pairs = meet.select(left_on, "__a", "match", "__b").distinct().where(2 * F.least(F.length("__a"), F.length("__b")) >= r * (F.length("__a") + F.length("__b")))
     scored = pairs.withColumn("score", ratio(F.col("__a"), F.col("__b"))).where(F.col("score") >= least)
@@ -84,6 +92,19 @@ def fuzzy_best(left: DataFrame, right: DataFrame, left_on: str, right_on: str, l
     return names.select(left_on).join(exact.unionByName(best), left_on, "left")
 
 
+def _rare(name: Column, r: float) -> Column:
+    """The name's first characters from rare to frequent, each with its number among equals; names of a score of r share one.
+
+    A name of length n has at least n * r / (2 - r) characters in common with
+    any that reaches the score, so of all but as many and one, one is common
+    if both sides take theirs in one order (prefix filtering).
+    """
+    order = F.transform(F.array_remove(F.split(name, ""), ""), lambda c: F.struct(F.instr(F.lit(RARE), c).alias("at"), c.alias("c")))
+    found = F.array_sort(order)
+    numbered = F.transform(found, lambda x, k: F.struct(F.lit(0).alias("n"), (k - F.array_position(found, x)).cast("int").alias("i"), x["c"].alias("s")))
+    return F.slice(numbered, F.lit(1), F.length(name) - F.ceil(F.length(name) * F.lit(r / (2 - r)) - F.lit(1e-9)).cast("int") + 1)
+
+
 def fuzzy_left_join(left: DataFrame, right: DataFrame, left_on: str, right_on: str, least: int = 95) -> DataFrame:
     """left with name_match, the best right name, and that row's other columns."""
     found = fuzzy_best(left, right, left_on, right_on, least).select(left_on, F.col("match").alias("name_match"))

@@ -37,15 +37,50 @@ def _long(df: DataFrame, columns: list[str], facts: dict[str, object]) -> DataFr
     return row.select(F.explode(F.array(*[F.struct(F.lit(c).alias("column"), *[F.col(f"{name}__{i}").alias(name) for name in facts]) for i, c in enumerate(columns)])).alias("r")).select("r.*")
 
 
+#: Ranges of values in which ranks are counted.
+RANGES = 64
+
+
+def quantiles(df: DataFrame, columns: list[str], shares: dict[str, float]) -> DataFrame:
+    """(column, n, and one for each of the named shares): exact quantiles with linear interpolation, nulls left out.
+
+    Values are counted where they are read, then ordered in ranges whose
+    borders come from a sketch; counts by range tell at which rank each
+    begins. No task holds or sorts all values of a column. Broadcast are the
+    borders and counts: RANGES numbers for each column.
+    """
+    values = df.select(F.explode(F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("value")) for c in columns])).alias("v")).select("v.*").where("value IS NOT NULL")
+    counts = values.groupBy("column", "value").agg(F.count("*").alias("times"))
+    borders = values.groupBy("column").agg(F.percentile_approx("value", [i / RANGES for i in range(1, RANGES)], 1000).alias("borders"))
+    dealt = counts.join(F.broadcast(borders), "column").select("column", "value", "times", F.size(F.filter("borders", lambda b: b < F.col("value"))).alias("range"))
+    per = dealt.groupBy("column", "range").agg(F.sum("times").alias("n"))
+    by_column = Window.partitionBy("column")
+    per = per.select("column", "range", (F.sum("n").over(by_column.orderBy("range")) - F.col("n")).alias("from"), F.sum("n").over(by_column).alias("n"))
+    upto = F.sum("times").over(Window.partitionBy("column", "range").orderBy("value").rowsBetween(Window.unboundedPreceding, 0))
+    ranked = dealt.withColumn("upto", upto).join(F.broadcast(per), ["column", "range"]).select("column", "value", "n", (F.col("from") + F.col("upto") - F.col("times")).alias("first"), (F.col("from") + F.col("upto") - 1).alias("last"))
+
+    def share(q: float) -> Column:
+        at = (F.col("n") - 1) * F.lit(q)
+        low, high = F.floor(at), F.ceil(at)
+        part = F.when(low.between(F.col("first"), F.col("last")), F.col("value") * (1 - (at - low))).otherwise(0.0)
+        return F.sum(part + F.when((high > low) & high.between(F.col("first"), F.col("last")), F.col("value") * (at - low)).otherwise(0.0))
+
+    return ranked.groupBy("column").agg(F.max("n").alias("n"), *[share(q).alias(name) for name, q in shares.items()])
+
+
 def describe(df: DataFrame, columns: list[str] | None = None, exact: bool = True) -> DataFrame:
     """count, mean, std, min, quartiles (linear interpolation) and max of numeric columns, a row for each.
 
-    Exact quartiles keep a count of each distinct value; where these are too
-    many for a task, ``exact=False`` takes quantile sketches.
+    ``exact=False`` takes quantile sketches, in one scan and without a shuffle of values.
     """
-    quartile = lambda q: lambda c: F.percentile(c.cast("double"), F.lit(q)) if exact else F.percentile_approx(c.cast("double"), q, 10_000)
-    facts = {"count": F.count, "mean": lambda c: F.avg(c.cast("double")), "std": lambda c: F.stddev_samp(c.cast("double")), "min": lambda c: F.min(c.cast("double")), "q25": quartile(0.25), "q50": quartile(0.5), "q75": quartile(0.75), "max": lambda c: F.max(c.cast("double"))}
-    return _long(df, columns or numeric_columns(df), facts)
+    columns = columns or numeric_columns(df)
+    shares = {"q25": 0.25, "q50": 0.5, "q75": 0.75}
+    facts = {"count": F.count, "mean": lambda c: F.avg(c.cast("double")), "std": lambda c: F.stddev_samp(c.cast("double")), "min": lambda c: F.min(c.cast("double")), "max": lambda c: F.max(c.cast("double"))}
+    order = ("column", "count", "mean", "std", "min", "q25", "q50", "q75", "max")
+    if not exact:
+        sketch = lambda q: lambda c: F.percentile_approx(c.cast("double"), q, 10_000)
+        return _long(df, columns, facts | {name: sketch(q) for name, q in shares.items()}).select(*order)
+    return _long(df, columns, facts).join(quantiles(df, columns, shares).drop("n"), "column", "left").select(*order)
 
 
 def null_counts(df: DataFrame) -> DataFrame:
@@ -86,11 +121,13 @@ def histogram(df: DataFrame, column: str, bins: int = 10) -> DataFrame:
 
 
 def iqr_outliers(df: DataFrame, columns: list[str], reach: float = 1.5) -> DataFrame:
-    """Quartiles, fences and the values beyond them, a row for each column."""
-    quartiles = _long(df, columns, {"q1": lambda c: F.percentile(c.cast("double"), F.lit(0.25)), "q3": lambda c: F.percentile(c.cast("double"), F.lit(0.75))})
-    fences = quartiles.withColumns({"low": F.col("q1") - reach * (F.col("q3") - F.col("q1")), "high": F.col("q3") + reach * (F.col("q3") - F.col("q1"))})
+    """Quartiles, fences and the number of values beyond them, a row for each column; the fences, as many rows, are broadcast."""
+    quartiles = quantiles(df, columns, {"q1": 0.25, "q3": 0.75})
+    fences = quartiles.select("column", "q1", "q3", (F.col("q1") - reach * (F.col("q3") - F.col("q1"))).alias("low"), (F.col("q3") + reach * (F.col("q3") - F.col("q1"))).alias("high"))
     values = df.select(F.explode(F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("value")) for c in columns])).alias("v")).select("v.*")
-    return fences.join(values.join(F.broadcast(fences), "column").groupBy("column").agg(F.count_if((F.col("value") < F.col("low")) | (F.col("value") > F.col("high"))).alias("outliers")), "column", "left").select("column", "q1", "q3", "low", "high", "outliers")
+    found = values.join(F.broadcast(fences), "column").groupBy("column", "q1", "q3", "low", "high").agg(F.count_if((F.col("value") < F.col("low")) | (F.col("value") > F.col("high"))).alias("outliers"))
+    every = df.sparkSession.createDataFrame([(c,) for c in columns], "column string")
+    return every.join(found, "column", "left").select("column", "q1", "q3", "low", "high", "outliers")
 
 
 def with_row_id(df: DataFrame, *order: str, name: str = "id", parts: int | None = None) -> DataFrame:

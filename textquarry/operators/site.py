@@ -19,12 +19,22 @@ def internal_links(pages: DataFrame) -> DataFrame:
 
 
 def site_texts(pages: DataFrame, separator: str = "") -> DataFrame:
-    """(site, n_pages, text): texts of a site's pages that have any, blanks collapsed, in the order of their URLs."""
+    """(site, n_pages, text): texts of a site's pages that have any, blanks collapsed, in the order of their URLs.
+
+    A site's text is one value, so a site must fit a task; Spark's limit is 2 GB.
+    """
     text = T.normalize_ws(H.html_to_text(F.col("html")))
     found = pages.select(U.site_base(F.col("url")).alias("site"), "url", text.alias("text")).where("text != ''")
     return found.groupBy("site").agg(F.count("*").alias("n_pages"), F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("url", "text"))), lambda r: r["text"]), separator).alias("text"))
 
 
+def site_files(sites: DataFrame, starts: DataFrame, generate: bool = False) -> DataFrame:
+    """(file_name, text) of sites (site, text): named as starts (url, file_name) say, by the whole URL where that is null or ``generate`` asks for it."""
+    name = F.lit(None).cast("string") if generate else F.col("file_name")
+    named = starts.select(U.site_base(F.col("url")).alias("site"), F.coalesce(name, U.url_full_filename(F.col("url"))).alias("file_name"))
+    return named.join(sites, "site").select("file_name", "text")
+
+
 def crawl(starts: DataFrame, fetch: Fetcher) -> DataFrame:
     """(url, html) of the start pages (url) and of all pages of their sites that they link to."""
     first = fetch(starts)

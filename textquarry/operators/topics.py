@@ -64,12 +64,16 @@ def centroids(df: DataFrame, label: str, vector: str) -> DataFrame:
     return parts.groupBy(label).agg(F.transform(F.array_sort(F.collect_list(F.struct("i", "x"))), lambda r: r["x"]).alias("centroid"))
 
 
-def cluster(df: DataFrame, column: str, stop: list[str], k: int | None = None, seed: int = 1) -> DataFrame:
-    """df with <column>_topic: k-means on TF-IDF of the corpus text, with a fixed seed; null texts are topic -1."""
+def cluster(df: DataFrame, column: str, stop: list[str], k: int | None = None, seed: int = 1, most: int = 50) -> DataFrame:
+    """df with <column>_topic: k-means on TF-IDF of the corpus text, with a fixed seed; null texts, which no topic fits, are topic -1.
+
+    Without ``k``, the root of half the texts, ``most`` at most (more clusters
+    than a person names). With fewer texts than topics, df as it is.
+    """
     n = df.where(F.col(column).isNotNull()).count()
-    k = k or max(2, min(50, round(math.sqrt(n / 2))))
+    k = k or max(2, min(most, round(math.sqrt(n / 2))))
     if n < k:
-        return df.withColumn(f"{column}_topic", F.lit(-1))
+        return df
     words = df.withColumn("__words", F.coalesce(tokens(corpus_text(F.col(column), stop)), F.array().cast("array<string>")))
     counted = HashingTF(inputCol="__words", outputCol="__tf", numFeatures=1 << 14).transform(words)
     weighed = IDF(inputCol="__tf", outputCol="__idf").fit(counted).transform(counted)
@@ -78,14 +82,49 @@ def cluster(df: DataFrame, column: str, stop: list[str], k: int | None = None, s
     return model.transform(unit).select(*df.columns, F.when(F.col(column).isNotNull(), F.col("__topic")).otherwise(-1).cast("int").alias(f"{column}_topic"))
 
 
+def representatives(texts: DataFrame, words: DataFrame, topic: str, text: str, top: int = 3) -> DataFrame:
+    """texts with ``score`` and ``rank``: the ``top`` texts of each topic that most have the topic's words (topic, word).
+
+    score: tokens that are words of the topic over the root of all tokens. Of
+    equals, the first by text and then by the other columns. Only the best of
+    a task leave it.
+    """
+    by_topic = words.groupBy(topic).agg(F.collect_set("word").alias("__words"))
+    found = F.filter(tokens(F.lower(F.col(text))), lambda x: x != "")
+    scored = texts.join(by_topic, topic).withColumn("score", F.round(F.size(F.filter(found, lambda x: F.array_contains("__words", x))) / F.sqrt(F.greatest(F.size(found), F.lit(1))), 9)).drop("__words")
+    order = [F.desc("score"), text, *[c for c in texts.columns if c not in (topic, text)]]
+    return scored.withColumn("rank", F.row_number().over(Window.partitionBy(topic).orderBy(*order))).where(F.col("rank") <= top)
+
+
+def rerank_words(words: DataFrame, vectors: DataFrame, centres: DataFrame, topic: str, top: int = 10) -> DataFrame:
+    """(topic, rank, word, score): a topic's words (topic, word) by the cosine similarity of their vectors (word, vector) to the topic's (topic, centroid).
+
+    Words without a vector are left out; of equals, the first word.
+    """
+    scored = words.select(topic, "word").distinct().join(vectors.select("word", "vector"), "word").join(centres.select(topic, "centroid"), topic).select(topic, "word", cosine(F.col("vector"), F.col("centroid")).alias("score"))
+    rank = F.row_number().over(Window.partitionBy(topic).orderBy(F.desc("score"), "word"))
+    return scored.withColumn("rank", rank).where(F.col("rank") <= top).select(topic, "rank", "word", "score")
+
+
 def annotate(df: DataFrame, column: str, stop: list[str], k: int | None = None, label=None) -> DataFrame:
-    """df with the column's topic, its label, representation and count; ``label(representation)`` may rename topics."""
+    """df with the column's topic, its label, representation, count and representative texts.
+
+    ``label(representation)`` may rename topics, but not topic -1, which has
+    no words and no texts. With too few texts for topics, df as it is.
+    """
     topic = f"{column}_topic"
-    found = cluster(df, column, stop, k).withColumn("__corpus", corpus_text(F.col(column), stop))
-    info = topic_table(class_words(found.where(F.col(topic) >= 0), topic, "__corpus"), topic, column)
+    found = cluster(df, column, stop, k)
+    if topic not in found.columns:
+        return df
+    found = found.withColumn("__corpus", corpus_text(F.col(column), stop))
+    words = class_words(found.where(F.col(topic) >= 0), topic, "__corpus")
+    info = topic_table(words, topic, column)
     if label:
         info = info.withColumn(f"{column}_topic_label", label(F.col(f"{column}_topic_representation")))
-    info = info.join(found.groupBy(topic).agg(F.count("*").alias(f"{column}_topic_count")), topic)
+    shown = representatives(found.where(F.col(topic) >= 0).select(topic, "__corpus", F.col(column).alias("__text")).distinct(), words, topic, "__corpus")
+    shown = shown.groupBy(topic).agg(F.transform(F.array_sort(F.collect_list(F.struct("rank", "__text"))), lambda r: r["__text"]).alias(f"{column}_Representative_Docs"))
+    counts = found.groupBy(topic).agg(F.count("*").alias(f"{column}_topic_count"))
+    info = counts.join(info, topic, "left").join(shown, topic, "left")
     return found.drop("__corpus").join(info, topic, "left")
 
 

@@ -179,8 +179,7 @@ def conditional_counts(spark: SparkSession, d: str) -> DataFrame:
 def events_per_month(spark: SparkSession, d: str) -> DataFrame:
     from textquarry.functions import dates
 
-    day = F.date_format("o_orderdate", "yyyy-MM-dd")
-    rows = table(spark, d, "orders").select(dates.parse_date(day).alias("day")).dropna()
+    rows = table(spark, d, "orders").select(F.date_trunc("month", "o_orderdate").alias("day")).dropna()
     return rows.groupBy(dates.month(F.col("day")).alias("month")).agg(F.count("*").alias("n")).orderBy("month")
 
 

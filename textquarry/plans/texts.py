@@ -276,7 +276,24 @@ def text_size_route(spark: SparkSession, d: str) -> DataFrame:
     return docs(spark, d).select("doc_id", F.when(F.char_length("text") < 10_000, "short").otherwise("long").alias("route"))
 
 
-@query()
+_BLANKS = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
+_EMAIL = "[A-Za-z0-9_.+-]+@[A-Za-z0-9-]+(?:\\.[A-Za-z0-9-]+)+"
+
+
+def _chunks_sql(source: str, key: str, size: int, overlap: int) -> str:
+    """CTEs up to ch(key, pos, chunk): pieces i are packed one by one, from s on, into chunks a to b."""
+    return f"""WITH RECURSIVE d AS (SELECT {key}, list_filter(string_split(text, '.'), lambda x: x <> '') AS p FROM ({source}) WHERE text IS NOT NULL),
+st({key}, s, i, total, popping, a, b) AS (SELECT {key}, 1::BIGINT, 1::BIGINT, 0::BIGINT, false, NULL::BIGINT, NULL::BIGINT FROM d
+UNION ALL SELECT {key}, CASE WHEN step = 'pop' THEN s + 1 ELSE s END, CASE WHEN step IN ('append', 'end') THEN i + 1 ELSE i END,
+CASE step WHEN 'pop' THEN total - length(p[s]) - (CASE WHEN s + 1 < i THEN 1 ELSE 0 END) WHEN 'append' THEN total + length(p[i]) + (CASE WHEN s < i THEN 1 ELSE 0 END) ELSE total END,
+step IN ('close', 'pop'), CASE WHEN step IN ('close', 'end') AND s < i THEN s END, CASE WHEN step IN ('close', 'end') AND s < i THEN i - 1 END
+FROM (SELECT st.*, p, CASE WHEN i > len(p) THEN 'end' WHEN NOT popping AND s < i AND total + length(p[i]) + 1 > {size} THEN 'close'
+WHEN popping AND (total > {overlap} OR (total > 0 AND total + length(p[i]) + 1 > {size})) THEN 'pop' ELSE 'append' END AS step FROM st JOIN d USING ({key}) WHERE i <= len(p) + 1)),
+ch AS (SELECT {key}, (row_number() OVER (PARTITION BY {key} ORDER BY b) - 1)::INT AS pos, chunk FROM (SELECT {key}, b, trim(array_to_string(p[a:b], '.'), {_BLANKS}) AS chunk FROM st JOIN d USING ({key}) WHERE b IS NOT NULL) WHERE chunk <> '')
+"""
+
+
+@query(_chunks_sql("SELECT doc_id, text FROM documents", "doc_id", 2000, 100) + "SELECT doc_id, pos, chunk FROM ch")
 def chunk_text(spark: SparkSession, d: str) -> DataFrame:
     return docs(spark, d).select("doc_id", F.posexplode(chunks.chunk(F.col("text"), 2000, 100)).alias("pos", "chunk"))
 
@@ -287,12 +304,21 @@ def extract_rules(spark: SparkSession, d: str) -> DataFrame:
     return docs(spark, d).select("doc_id", *[c.alias(n) for n, c in extract.rule_fields(F.col("text")).items()])
 
 
-@query()
+@query(_chunks_sql("SELECT doc_id, text FROM documents WHERE length(text) >= 10000", "doc_id", 2000, 100) + f"SELECT doc_id, count(*) AS n_chunks, string_agg(coalesce(regexp_extract(chunk, '{_EMAIL}', 0), ''), chr(10) ORDER BY pos) AS parts FROM ch GROUP BY doc_id")
 def chunk_map_reduce(spark: SparkSession, d: str) -> DataFrame:
     long = docs(spark, d).where(F.char_length("text") >= 10_000)
     return extract.chunk_map_reduce(long, "doc_id", lambda c: F.regexp_extract(c, extract.EMAIL, 0), 2000, 100)
 
 
+@query(_chunks_sql("SELECT min(doc_id) AS doc_id, text FROM documents GROUP BY text", "doc_id", 1000, 50) + f"""SELECT doc_id::VARCHAR AS file_name, CASE WHEN length(text) < 5000 THEN nullif(regexp_extract(text, '{_EMAIL}', 0), '') ELSE e.email END AS email, false AS failed
+FROM (SELECT min(doc_id) AS doc_id, text FROM documents GROUP BY text) LEFT JOIN (SELECT doc_id, arg_min(regexp_extract(chunk, '{_EMAIL}', 0), pos) AS email FROM ch WHERE regexp_matches(chunk, '{_EMAIL}') GROUP BY doc_id) e USING (doc_id)""")
+def extract_long(spark: SparkSession, d: str) -> DataFrame:
+    """Records of all texts, long ones by way of their chunks: the first e-mail address."""
+    texts = docs(spark, d).groupBy("text").agg(F.min("doc_id").cast("string").alias("file_name")).select("file_name", "text")
+    found = extract.analyse(texts, spark.createDataFrame([], "hash string"), extract.rule_extractor, 5000, 1000, 50)
+    return found.select("file_name", F.col("contact.email").alias("email"), F.col(extract.ERROR).isNotNull().alias("failed"))
+
+
 _CTFIDF = f"""WITH w AS (SELECT lang AS topic, unnest({_TOKENS.format(x='lower(text)')}) AS word FROM documents),
 c AS (SELECT topic, word, count(*) AS tf FROM w GROUP BY ALL), f AS (SELECT word, sum(tf) AS f FROM c GROUP BY word), a AS (SELECT sum(tf) / count(DISTINCT topic) AS a FROM c),
 s AS (SELECT topic, word, round(tf * ln(1 + a / f), 6) AS weight FROM c JOIN f USING (word), a),
@@ -315,6 +341,26 @@ def topic_label_join(spark: SparkSession, d: str) -> DataFrame:
     return docs(spark, d).select("doc_id", F.col("lang").alias("topic")).join(info, "topic", "left").select("doc_id", "topic", "text_topic_label", F.array_join("text_topic_representation", " ").alias("words"))
 
 
+@query(_CTFIDF + """, top AS (SELECT topic, list(word) AS words FROM r WHERE rank <= 10 GROUP BY topic),
+t AS (SELECT doc_id, lang AS topic, text, """ + _TOKENS.format(x="lower(text)") + """ AS found FROM documents),
+sc AS (SELECT doc_id, topic, text, round(len(list_filter(found, lambda x: list_contains(words, x))) / sqrt(greatest(len(found), 1)), 9) AS score FROM t JOIN top USING (topic))
+SELECT topic, doc_id, rank, score FROM (SELECT *, row_number() OVER (PARTITION BY topic ORDER BY score DESC, text, doc_id)::INT AS rank FROM sc) WHERE rank <= 3""")
+def topic_representatives(spark: SparkSession, d: str) -> DataFrame:
+    texts = docs(spark, d).select(F.col("lang").alias("topic"), "text", "doc_id")
+    return topics.representatives(texts, _topic_words(spark, d), "topic", "text").select("topic", "doc_id", "rank", "score")
+
+
+@query("""WITH e AS (SELECT label, generate_subscripts(embedding, 1) AS i, unnest(embedding)::DOUBLE AS x FROM embeddings),
+c AS (SELECT label, list(x ORDER BY i) AS centre FROM (SELECT label, i, avg(x) AS x FROM e GROUP BY ALL) GROUP BY label),
+s AS (SELECT c.label AS topic, vec_id AS word, list_cosine_similarity(embedding::DOUBLE[], centre) AS score FROM c JOIN embeddings v ON c.label = v.label)
+SELECT topic, word, rank, round(score, 5) AS score FROM (SELECT *, row_number() OVER (PARTITION BY topic ORDER BY score DESC, word)::INT AS rank FROM s) WHERE rank <= 5""")
+def topic_words_reranked(spark: SparkSession, d: str) -> DataFrame:
+    """Vectors stand for words, labels for topics."""
+    rows = table(spark, d, "embeddings").select(F.col("label").alias("topic"), F.col("vec_id").alias("word"), F.col("embedding").alias("vector"))
+    found = topics.rerank_words(rows, rows, topics.centroids(rows, "topic", "vector"), "topic", 5)
+    return found.select("topic", "word", "rank", F.round("score", 5).alias("score"))
+
+
 @query(_CTFIDF + "SELECT topic, 'Name the topic of: ' || string_agg(word, ', ' ORDER BY rank) AS prompt FROM r WHERE rank <= 10 GROUP BY topic")
 def topic_prompt(spark: SparkSession, d: str) -> DataFrame:
     info = topics.topic_table(_topic_words(spark, d), "topic", "text")

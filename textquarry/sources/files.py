@@ -53,3 +53,38 @@ def write_csv(df: DataFrame, path: str, separator: str = ",") -> None:
 def write_json(df: DataFrame, path: str) -> None:
     """Nulls kept."""
     df.write.mode("overwrite").option("ignoreNullFields", "false").json(path)
+
+
+def read_prompt(spark: SparkSession, path: str, **values: str) -> str:
+    """One small text file, with {name} replaced by values."""
+    text = spark.read.text(path, wholetext=True).first()[0]
+    for name, value in values.items():
+        text = text.replace("{" + name + "}", value)
+    return text
+
+
+def write_prompt(spark: SparkSession, path: str, text: str) -> None:
+    """Replaces a small text file."""
+    with_file(spark, path, text.encode())
+
+
+def placeholders(spark: SparkSession, folder: str, names: list[str]) -> None:
+    """Empty files, there from now on; those that exist are emptied."""
+    for name in names:
+        with_file(spark, f"{folder}/{name}", b"")
+
+
+def with_file(spark: SparkSession, path: str, data: bytes) -> None:
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    out = at.getFileSystem(spark._jsc.hadoopConfiguration()).create(at, True)
+    try:
+        out.write(bytearray(data))
+    finally:
+        out.close()
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether there is such a file, or a folder with something in it."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = at.getFileSystem(spark._jsc.hadoopConfiguration())
+    return fs.exists(at) and len(fs.listStatus(at)) > 0

@@ -8,6 +8,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from textquarry.functions.text import text_hash
 from textquarry.operators.joins import unprocessed
+from textquarry.sources.files import exists
 
 
 def follow_folder(spark: SparkSession, folder: str, pattern: str = "*") -> DataFrame:
@@ -22,13 +23,7 @@ def append_new(texts: DataFrame, target: str, checkpoint: str) -> StreamingQuery
         spark = batch.sparkSession
         schema = "hash string, file_name string, text string, batch bigint"
         # A batch that runs again after a failure replaces what it had written.
-        known = spark.read.schema(schema).option("basePath", target).parquet(target).where(F.col("batch") != number) if _exists(spark, target) else spark.createDataFrame([], schema)
+        known = spark.read.schema(schema).option("basePath", target).parquet(target).where(F.col("batch") != number) if exists(spark, target) else spark.createDataFrame([], schema)
         unprocessed(batch.withColumn("hash", text_hash(F.col("text"))), known).select("hash", "file_name", "text").write.mode("overwrite").parquet(f"{target}/batch={number}")
 
     return texts.writeStream.foreachBatch(add).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
-
-
-def _exists(spark: SparkSession, path: str) -> bool:
-    at = spark._jvm.org.apache.hadoop.fs.Path(path)
-    fs = at.getFileSystem(spark._jsc.hadoopConfiguration())
-    return fs.exists(at) and len(fs.listStatus(at)) > 0
