@@ -120,9 +120,9 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     first = found.groupBy("fp").agg(F.min(rank).alias("first"))
     chosen = first.join(classes_of(found), "fp").groupBy("root").agg(F.min("first").alias("first")).select("first.doc_id", "first.text_hash")
     times = found.groupBy("doc_id", "text_hash").agg(F.count("*").alias("times"))
-    chosen = durable(chosen.join(times, chosen["doc_id"].eqNullSafe(times["doc_id"]) & (chosen["text_hash"] == times["text_hash"])).select(chosen["doc_id"].alias("__id"), chosen["text_hash"].alias("__hash"), "times"))
+    chosen = durable(chosen.join(times, chosen["doc_id"].eqNullSafe(times["doc_id"]) & (chosen["text_hash"] == times["text_hash"])).select(chosen["doc_id"].alias("__id"), chosen["text_hash"].alias("__hash"), F.col("times").alias("__times")))
     kept = docs.join(chosen, F.col(id_col).cast("bigint").eqNullSafe(F.col("__id")) & (key == F.col("__hash")))
     # Only rows that are there several times have to meet; a hash of all columns chooses, so that any task chooses alike.
     whole = F.struct(*[kept[c] for c in docs.columns])
-    again = kept.where("times > 1").groupBy("__id", "__hash").agg(F.min_by(whole, F.xxhash64(*[kept[c] for c in docs.columns])).alias("one")).select("one.*")
-    return kept.where("times = 1").select(*docs.columns).unionByName(again)
+    again = kept.where("__times > 1").groupBy("__id", "__hash").agg(F.min_by(whole, F.xxhash64(*[kept[c] for c in docs.columns])).alias("one")).select("one.*")
+    return kept.where("__times = 1").select(*docs.columns).unionByName(again)

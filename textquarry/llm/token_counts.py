@@ -24,11 +24,13 @@ import numpy as np
 import regex
 from pyspark.sql import DataFrame
 
-from textquarry.llm import byte_bpe
+from textquarry.llm import bpe_trie, byte_bpe
 from textquarry.llm.runtime import keyed_text, map_texts
 
 #: Characters of a chunk and of the first overlap.
 CHUNK, OVERLAP = 4096, 192
+#: Longer chunks, which only texts of one endless pre-token need, are encoded by the trie: the library's matcher has a stack that they exceed.
+MATCHED = 1 << 16
 #: The encoder decides about a pre-token by at most two characters after it (contractions, the last blank of a run).
 LOOKAHEAD = 3
 #: Ends a pre-token whatever precedes: a non-blank before a blank, a letter or digit before another kind.
@@ -44,7 +46,13 @@ def encoder(path: str):
     bpe = byte_bpe.load(path)
     enc = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=bpe.ids, special_tokens=bpe.special)
     lengths = np.fromiter(map(len, bpe.bytes), np.int64, bpe.size)
-    return (lambda text: enc.encode_to_numpy(text, allowed_special="all")), lengths, max(map(len, bpe.special), default=0)
+
+    def encode(text: str) -> np.ndarray:
+        if len(text) <= MATCHED:
+            return enc.encode_to_numpy(text, allowed_special="all")
+        return np.frombuffer(bpe_trie.encoder(path).encode_all([text])[0], "<u4")
+
+    return encode, lengths, max(map(len, bpe.special), default=0)
 
 
 class ChunkCounter:
