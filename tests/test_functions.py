@@ -161,6 +161,7 @@ def test_summary(spark):
 
 def test_token_clean(spark):
     assert apply(spark, ["The cat's, AND dog!", "", None], lambda c: T.clean_tokens(c, ["the", "and"])) == [["cats", "dog"], [], None]
+    assert apply(spark, ["The cats and dogs"], lambda c: T.clean_tokens(c, ["the"], lambda x: F.regexp_replace(x, "s$", ""))) == [["cat", "and", "dog"]]
 
 
 def lcs(a, b):

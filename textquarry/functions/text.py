@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -40,10 +42,11 @@ def without_stopwords(found: Column, stop: list[str]) -> Column:
     return F.filter(found, lambda x: ~F.array_contains(words, F.lower(x)))
 
 
-def clean_tokens(text: Column, stop: list[str]) -> Column:
-    """Tokens without punctuation, lower-cased, without stop words or empty ones."""
+def clean_tokens(text: Column, stop: list[str], lemma: Callable[[Column], Column] | None = None) -> Column:
+    """Tokens without punctuation, lower-cased, without stop words or empty ones; ``lemma`` gives each one's base form."""
     bare = F.transform(tokens(text), lambda x: F.lower(F.regexp_replace(x, r"[^\p{L}\p{N}_]", "")))
-    return F.filter(without_stopwords(bare, stop), lambda x: x != "")
+    found = F.filter(without_stopwords(bare, stop), lambda x: x != "")
+    return F.transform(found, lemma) if lemma else found
 
 
 def text_hash(text: Column) -> Column:

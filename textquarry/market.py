@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import logging
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,6 +17,8 @@ from textquarry.operators.profile import with_row_id
 from textquarry.sources.files import read_texts
 
 
+log = logging.getLogger(__name__)
+
 #: Subject of a report: child table, label column, representation column, text column. Fixed values.
 SUBJECTS = {
     "objectifs": ("objectives", "objectives_topic_label", "objectives_topic_representation", "objectives"),
@@ -37,9 +40,11 @@ def run(spark: SparkSession, folders: list[str], directory: DataFrame, extract:
     Nothing runs before a result is written, but the topics' gates and models.
     """
     done = schemas.empty(spark) if done is None else done
+    log.info("texts of %s", ", ".join(folders))
     found = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), [analyse(read_texts(spark, f, "*"), done, extract) for f in folders])
     raw = with_row_id(left_join_new_columns(directory, found.unionByName(done, allowMissingColumns=True), "file_name"), "file_name")
     out = split_record(raw, "id", separators)
+    log.info("child tables: %s", ", ".join(out.children))
     if with_topics:
         out.children = {name: topics.annotate_texts(child, stop or []) for name, child in out.children.items()}
     return out

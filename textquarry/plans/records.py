@@ -63,6 +63,7 @@ def prune_nulls_json(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "events").select("event_id", nested.prune_nulls_json(made).alias("json"))
 
 
+#: Fixed value: the record with nothing in it.
 _GOLDEN = '{"association_name":null,"objectives":[],"activities":[],"offers":[],"member_statuses":[],"contact":{"email":null},"communication":{"facebook_likes":null,"facebook_follower":null,"instagram_publication":null,"instagram_followers":null},"hash":null,"text_name":null}'
 
 

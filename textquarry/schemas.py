@@ -15,6 +15,7 @@ neologisms ARRAY<STRUCT<name:STRING,interpretation:STRING,components:ARRAY<STRIN
 contact STRUCT<email:STRING>,
 communication STRUCT<facebook_likes:BIGINT,facebook_follower:BIGINT,instagram_publication:BIGINT,instagram_followers:BIGINT>,
 hash STRING, file_name STRING"""
+#: Fixed values, as above.
 FORMER_ENTITY = """association_name STRING, objectives ARRAY<STRING>,
 activities ARRAY<STRUCT<name:STRING,price:BIGINT>>,
 offers ARRAY<STRUCT<name:STRING,description:STRING,target_group:STRING,price:BIGINT>>,
