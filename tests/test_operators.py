@@ -123,6 +123,14 @@ def test_row_id_is_gapless(spark):
     assert [r["id"] for r in out] == list(range(334)) and [(r["x"], r["y"]) for r in out] == sorted((r["x"], r["y"]) for r in out)
 
 
+def test_row_id_of_ties_and_nulls(spark):
+    df = spark.range(2000).select(F.when(F.col("id") % 4 == 0, F.col("id") % 3).alias("x"), F.col("id").alias("y"), F.lit("same").alias("z"))
+    out = profile.with_row_id(df, "x", parts=16).orderBy("id").collect()
+    assert [r["id"] for r in out] == list(range(2000)) and [r["x"] for r in out] == [None] * 1500 + sorted(r["x"] for r in out if r["x"] is not None)
+    same = profile.with_row_id(df.select("z"), "z", parts=4)
+    assert sorted(r["id"] for r in same.collect()) == list(range(2000)) and profile.with_row_id(df.where("false"), "x").count() == 0
+
+
 def test_correlation_of_a_constant_is_null(spark):
     df = spark.createDataFrame([(1.0, 5.0, None), (2.0, 5.0, 1.0)], "a double, b double, c double")
     assert {(r["a"], r["b"]): r["corr"] for r in profile.correlations(df, ["a", "b", "c"]).collect()} == {("a", "a"): 1.0, ("a", "b"): None, ("a", "c"): None, ("b", "b"): None, ("b", "c"): None, ("c", "c"): None}

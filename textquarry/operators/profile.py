@@ -6,7 +6,7 @@ from itertools import combinations_with_replacement
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import NumericType, StringType
+from pyspark.sql.types import MapType, NumericType, StringType
 from pyspark.sql.window import Window
 
 
@@ -130,27 +130,34 @@ def iqr_outliers(df: DataFrame, columns: list[str], reach: float = 1.5) -> DataF
     return every.join(found, "column", "left").select("column", "q1", "q3", "low", "high", "outliers")
 
 
+def _rank(key: Column, borders: list[Column], low: int = 0, high: int | None = None) -> Column:
+    """How many of the borders, in order, are not above the key: by halves, not one after the other."""
+    high = len(borders) if high is None else high
+    if low == high:
+        return F.lit(low)
+    middle = (low + high) // 2
+    return F.when(borders[middle] <= key, _rank(key, borders, middle + 1, high)).otherwise(_rank(key, borders, low, middle))
+
+
 def with_row_id(df: DataFrame, *order: str, name: str = "id", parts: int | None = None) -> DataFrame:
     """df with its rows numbered from 0 in the given order (nulls first); the number comes first.
 
     Numbered in two steps, so that no task holds all rows: they are dealt to
     ranges of the order whose borders come from a bounded sample, counted by
     range, and numbered within. The borders are literals, so a task that runs
-    again deals its rows alike. Of rows that agree in the order, any may be
-    first: name columns that tell rows apart.
+    again deals its rows alike. Rows that agree in the order are told apart by
+    a hash of all their columns, so that many of them are many ranges; of rows
+    alike in all columns any may be first. To the driver come 20 keys a range,
+    and counts, as many as ranges, are broadcast.
     """
     parts = parts or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = df.withColumn("__tie", F.xxhash64(*[f.name for f in df.schema if not isinstance(f.dataType, MapType)]))
+    order = (*order, "__tie")
     key = F.struct(*order)
-    keys = df.select(key.alias("key")).orderBy(F.xxhash64("key")).limit(20 * parts).select("key.*").orderBy(*order).collect()
-    borders = [keys[i] for i in range(20, len(keys), 20)]
-    kinds = [df.schema[c].dataType for c in order]
-    if borders:
-        found = F.array(*[F.struct(*[F.lit(v).cast(k).alias(c) for v, k, c in zip(row, kinds, order, strict=True)]) for row in borders])
-        part = F.size(F.filter(found, lambda b: b <= key))
-    else:
-        part = F.lit(0)
-    dealt = df.withColumn("__part", part)
+    keys = dealt.select(key.alias("key")).orderBy(F.xxhash64("key")).limit(20 * parts).select("key.*").orderBy(*order).collect()
+    kinds = [dealt.schema[c].dataType for c in order]
+    borders = [F.struct(*[F.lit(v).cast(k).alias(c) for v, k, c in zip(keys[i], kinds, order, strict=True)]) for i in range(20, len(keys), 20)]
+    dealt = dealt.withColumn("__part", _rank(key, borders))
     within = dealt.withColumn("__n", F.row_number().over(Window.partitionBy("__part").orderBy(*order)))
-    # As many rows as ranges.
     starts = dealt.groupBy("__part").agg(F.count("*").alias("__c")).withColumn("__from", F.sum("__c").over(Window.orderBy("__part")) - F.col("__c")).drop("__c")
     return within.join(F.broadcast(starts), "__part").select((F.col("__from") + F.col("__n") - 1).alias(name), *df.columns)
