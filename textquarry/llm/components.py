@@ -5,14 +5,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from textquarry.llm.runtime import durable
+from textquarry.llm.runtime import discard, durable
 
 
 def components(edges: DataFrame) -> DataFrame:
     """(node, root) for every node of edges (a, b); root is the least node of its component.
 
     Large-star and small-star rounds (Kiveris et al., 2014), each written to
-    the shared folder, until a round changes nothing. What a round needs of a
+    the shared folder, until a round changes nothing; a round's tables go once
+    the next one's are there. What a round needs of a
     node's neighbours is their least, a partial aggregate; no neighbourhood is
     gathered. Empty edges give no rows; loops are ignored.
     """
@@ -27,7 +28,8 @@ def components(edges: DataFrame) -> DataFrame:
         # u and its smaller neighbours are linked to the least of these.
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u != v").unionByName(least.select("u", F.col("m").alias("v")))
-        now = durable(small.distinct())
+        before, now = now, durable(small.distinct())
+        discard(before, large)
         found = now.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if tuple(found) == sign:
             break
