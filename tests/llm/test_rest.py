@@ -192,7 +192,9 @@ def test_every_letter_has_a_symbol(monkeypatch):
         langid.CrossParser({"zh": [letters]})
 
 
-def test_phrases_of_random_lines():
+@pytest.mark.parametrize("at_once", [1, 2, 3, 1500])
+def test_phrases_of_random_lines(monkeypatch, at_once):
+    monkeypatch.setattr(langid, "AT_ONCE", at_once)
     r = random.Random(2)
     samples = {k: ["".join(r.choice("abcd ") for _ in range(400))] for k in ("x", "y")}
     parser = langid.CrossParser(samples)
