@@ -1,13 +1,14 @@
 """Near-duplicates and repeated byte strings against brute force."""
 
 import hashlib
+import os
 import random
 import re
 
 import numpy as np
 import xxhash
 
-from textquarry.llm import components, queries, simhash, suffix_dedup
+from textquarry.llm import components, queries, runtime, simhash, suffix_dedup
 
 
 def slow_fingerprint(text):
@@ -163,3 +164,12 @@ def test_repeated_rows_are_copies(make_docs):
     text = "".join(random.Random(6).choice("abcdef ") for _ in range(900))
     rows = [(1, text), (1, text), (2, text[100:600] + "#" * 3)]
     assert sorted(tuple(x)[1:] for x in suffix_dedup.remove_repeats(make_docs(rows)).drop("kept").collect()) == sorted(slow_removal([t for _, t in rows]))
+
+
+def test_tables_are_deleted(spark, make_docs):
+    one, two = (runtime.durable(make_docs([(1, "a")])) for _ in range(2))
+    runtime.discard(one)
+    assert not os.path.exists(one._durable_path) and two.count() == 1
+    runtime.clean(spark)
+    assert not os.path.exists(two._durable_path) and not runtime._WRITTEN
+    assert not os.listdir(os.path.dirname(two._durable_path))
