@@ -7,6 +7,7 @@ import re
 
 import numpy as np
 import xxhash
+from pyspark.sql import functions as F
 
 from textquarry.llm import components, queries, runtime, simhash, suffix_dedup
 
@@ -173,3 +174,13 @@ def test_tables_are_deleted(spark, make_docs):
     runtime.clean(spark)
     assert not os.path.exists(two._durable_path) and not runtime._WRITTEN
     assert not os.listdir(os.path.dirname(two._durable_path))
+
+
+def test_clashing_buckets_remove_nothing(spark):
+    """Members of one bucket are repeats only where their digests agree."""
+    kinds = [(1, 1), (1, 2), (2, 1), (3, 3), (3, 3)]
+    rows = [(7, u, v, 1, i, i, 0, 0, 0, 0, False) for i, (u, v) in enumerate(kinds)] + [(8, 5, 5, 1, 9, 9, 0, 0, 0, 0, False), (9, 6, 6, 2, 10, 10, 0, 0, 0, 0, False)]
+    made = spark.createDataFrame(rows, "core bigint, u bigint, v bigint, n bigint, id bigint, row bigint, anchor bigint, first bigint, last bigint, upto bigint, known boolean")
+    repeats, left = suffix_dedup._settle(made, F.sum("n") > 1, ["id", "row"])
+    assert sorted(r["id"] for r in repeats.collect()) == [3, 4, 10]
+    assert sorted((r["id"], r["known"]) for r in left.collect()) == [(0, False), (1, False), (2, False), (3, True)]
