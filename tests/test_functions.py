@@ -175,7 +175,7 @@ def lcs(a, b):
 
 
 def test_similarity(spark):
-    pairs = [("blue bolt", "blue bolts"), ("", "a"), ("", ""), ("abc", "abc"), ("kitten", "sitting"), ("éa", "aé")]
+    pairs = [("blue bolt", "blue bolts"), ("", "a"), ("", ""), ("abc", "abc"), ("kitten", "sitting"), ("éa", "aé"), ("ab" * 31, "ba" * 31), ("ab" * 32, "ba" * 31), ("abc" * 30, "cab" * 25), ("a" * 62, "a" * 200), ("x" * 63, "x" * 62 + "y")]
     df = spark.createDataFrame(pairs, "a string, b string").select(similarity.lcs_length(F.col("a"), F.col("b")), similarity.ratio(F.col("a"), F.col("b")))
     for (a, b), (n, score) in zip(pairs, df.collect(), strict=True):
         assert n == lcs(a, b)

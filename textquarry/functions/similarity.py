@@ -12,8 +12,24 @@ def token_sort(name: Column) -> Column:
     return F.array_join(F.array_sort(F.split(bare, " ")), " ")
 
 
-def lcs_length(a: Column, b: Column) -> Column:
-    """Length of the longest common subsequence, row by row over arrays."""
+#: Characters up to which a text's positions are the bits of a number, with room for a sum.
+BITS = 62
+
+
+def _characters(text: Column) -> Column:
+    return F.array_remove(F.split(text, ""), "")
+
+
+def _lcs_by_bits(a: Column, b: Column) -> Column:
+    """For b of at most BITS characters: a bit for each of its positions, cleared where the subsequence grows (Hyyro, 2004)."""
+    n, zero = F.length(b), F.lit(0).cast("bigint")
+    bit = lambda j: F.call_function("shiftleft", F.lit(1).cast("bigint"), j)
+    where = lambda c: F.aggregate(F.transform(_characters(b), lambda x, j: F.when(x == c, bit(j)).otherwise(zero)), zero, lambda m, x: m.bitwiseOR(x))
+    step = lambda v, m: (v + v.bitwiseAND(m)).bitwiseOR(v - v.bitwiseAND(m)).bitwiseAND(bit(n) - 1)
+    return n - F.bit_count(F.aggregate(F.transform(_characters(a), where), bit(n) - 1, step))
+
+
+def _lcs_by_rows(a: Column, b: Column) -> Column:
     n = F.length(b)
 
     def row(before: Column, c: Column) -> Column:
@@ -23,8 +39,12 @@ def lcs_length(a: Column, b: Column) -> Column:
 
         return F.aggregate(F.sequence(F.lit(1), n), F.array(F.lit(0)), cell)
 
-    whole = F.aggregate(F.array_remove(F.split(a, ""), ""), F.array_repeat(F.lit(0), n + 1), row)
-    return F.when((F.length(a) == 0) | (n == 0), 0).otherwise(F.element_at(whole, -1))
+    return F.element_at(F.aggregate(_characters(a), F.array_repeat(F.lit(0), n + 1), row), -1)
+
+
+def lcs_length(a: Column, b: Column) -> Column:
+    """Length of the longest common subsequence; by bits if one of the two is short."""
+    return F.when((F.length(a) == 0) | (F.length(b) == 0), 0).when(F.length(b) <= BITS, _lcs_by_bits(a, b)).when(F.length(a) <= BITS, _lcs_by_bits(b, a)).otherwise(_lcs_by_rows(a, b)).cast("int")
 
 
 def ratio(a: Column, b: Column) -> Column:
