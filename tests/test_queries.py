@@ -29,6 +29,19 @@ def test_matches_sql(spark, duck, sf_dir, tmp_path, name):
     assert rows(duck.sql(f"SELECT * FROM '{tmp_path}/out/*.parquet'")) == rows(duck.sql(registry.ORACLES[name]))
 
 
+#: References that are cut off, as where the tables' titles end; the SQL decodes only those with a semicolon.
+CUT = ["<h1>a &amp;&amp</h1><p>&copy b&quot</p>", "<h1>&am</h1>&ampx; &amp;lt; &#39;", "<h1>&amp;lt &lt</h1>", "<h1> &quot;&quot </h1>&a", "<p>&eacute;&eacute</p>", None]
+
+
+@pytest.mark.parametrize("name", ["html_first_match"])
+def test_cut_references_match_sql(spark, tmp_path, name):
+    spark.createDataFrame([(i, f"http://s{i % 2}.example/{i}", page) for i, page in enumerate(CUT)], "page_id bigint, url string, html string").write.parquet(f"{tmp_path}/pages.parquet")
+    registry.QUERIES[name](spark, str(tmp_path)).write.parquet(f"{tmp_path}/out")
+    con = duckdb.connect()
+    con.sql(f"CREATE VIEW pages AS SELECT * FROM '{tmp_path}/pages.parquet/*.parquet'")
+    assert rows(con.sql(f"SELECT * FROM '{tmp_path}/out/*.parquet'")) == rows(con.sql(registry.ORACLES[name]))
+
+
 def test_only_clusters_have_no_sql():
     assert set(registry.QUERIES) - set(registry.ORACLES) == {"transform_entry"}
 

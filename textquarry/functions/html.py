@@ -10,6 +10,7 @@ from __future__ import annotations
 import html as stdlib
 import re
 from collections.abc import Iterator
+from html.entities import html5
 
 import pandas as pd
 from pyspark.sql import Column
@@ -25,10 +26,18 @@ TOKEN = re.compile(
     re.IGNORECASE | re.DOTALL,
 )
 HREF = re.compile(r"""(?:^|[\s"'/])href\s*+=\s*+(?:"([^"]*+)"|'([^']*+)'|([^\s"'>]++))""", re.IGNORECASE)
+#: A character reference that ends in a semicolon.
+CLOSED = re.compile(r"&(?:#(?:[0-9]++|[xX][0-9a-fA-F]++)|[a-zA-Z][a-zA-Z0-9]*+);")
 
 
-def text_of(page: str) -> str:
-    return stdlib.unescape(TOKEN.sub("", page))
+def _unescape_closed(m: re.Match) -> str:
+    # A name that isn't known may begin with one that is: &ampx; stays.
+    return stdlib.unescape(m[0]) if m[0][1] == "#" or m[0][1:] in html5 else m[0]
+
+
+def text_of(page: str, closed: bool = False) -> str:
+    text = TOKEN.sub("", page)
+    return CLOSED.sub(_unescape_closed, text) if closed else stdlib.unescape(text)
 
 
 def links_of(page: str) -> Iterator[str]:
@@ -42,14 +51,23 @@ def _text(pages: pd.Series) -> pd.Series:
     return pd.Series([None if x is None else text_of(x) for x in pages], dtype=object)
 
 
+@F.pandas_udf(StringType())
+def _closed_text(pages: pd.Series) -> pd.Series:
+    return pd.Series([None if x is None else text_of(x, True) for x in pages], dtype=object)
+
+
 @F.pandas_udf(ArrayType(StringType()))
 def _links(pages: pd.Series) -> pd.Series:
     return pd.Series([None if x is None else list(links_of(x)) for x in pages], dtype=object)
 
 
-def html_to_text(html: Column) -> Column:
-    """The text nodes, joined without a separator, references decoded; scripts, styles and comments are dropped. Null stays null."""
-    return _text(html)
+def html_to_text(html: Column, closed: bool = False) -> Column:
+    """The text nodes, joined without a separator, references decoded; scripts, styles and comments are dropped. Null stays null.
+
+    Some references need no semicolon, as browsers read them; ``closed``
+    decodes only those that have one, and leaves a cut-off ``&amp`` as it is.
+    """
+    return _closed_text(html) if closed else _text(html)
 
 
 def links(html: Column) -> Column:
@@ -70,6 +88,6 @@ def first_link(html: Column, css_class: str) -> Column:
     return F.nullif(attribute(of_class, "href"), F.lit(""))
 
 
-def first_element_text(html: Column, tag: str) -> Column:
+def first_element_text(html: Column, tag: str, closed: bool = False) -> Column:
     """Trimmed text of the first element of a kind; null if there is none or it is empty."""
-    return F.nullif(F.trim(html_to_text(F.regexp_extract(html, rf"(?is)<{tag}\b[^>]*>(.*?)</{tag}\s*>", 1))), F.lit(""))
+    return F.nullif(F.trim(html_to_text(F.regexp_extract(html, rf"(?is)<{tag}\b[^>]*>(.*?)</{tag}\s*>", 1), closed)), F.lit(""))
