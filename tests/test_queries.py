@@ -33,7 +33,7 @@ def test_matches_sql(spark, duck, sf_dir, tmp_path, name):
 CUT = ["<h1>a &amp;&amp</h1><p>&copy b&quot</p>", "<h1>&am</h1>&ampx; &amp;lt; &#39;", "<h1>&amp;lt &lt</h1>", "<h1> &quot;&quot </h1>&a", "<p>&eacute;&eacute</p>", None]
 
 
-@pytest.mark.parametrize("name", ["html_first_match", "html_to_text"])
+@pytest.mark.parametrize("name", ["html_first_match", "html_to_text", "site_text_concat"])
 def test_cut_references_match_sql(spark, tmp_path, name):
     spark.createDataFrame([(i, f"http://s{i % 2}.example/{i}", page) for i, page in enumerate(CUT)], "page_id bigint, url string, html string").write.parquet(f"{tmp_path}/pages.parquet")
     registry.QUERIES[name](spark, str(tmp_path)).write.parquet(f"{tmp_path}/out")

@@ -18,12 +18,12 @@ def internal_links(pages: DataFrame) -> DataFrame:
     return found.select("base", U.resolve_link(F.col("url"), F.col("href")).alias("link")).where(F.col("link").startswith(F.col("base"))).distinct()
 
 
-def site_texts(pages: DataFrame, separator: str = "") -> DataFrame:
+def site_texts(pages: DataFrame, separator: str = "", closed: bool = False) -> DataFrame:
     """(site, n_pages, text): texts of a site's pages that have any, blanks collapsed, in the order of their URLs.
 
     A site's text is one value, so a site must fit a task; Spark's limit is 2 GB.
     """
-    text = T.normalize_ws(H.html_to_text(F.col("html")))
+    text = T.normalize_ws(H.html_to_text(F.col("html"), closed))
     found = pages.select(U.site_base(F.col("url")).alias("site"), "url", text.alias("text")).where("text != ''")
     return found.groupBy("site").agg(F.count("*").alias("n_pages"), F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("url", "text"))), lambda r: r["text"]), separator).alias("text"))
 
