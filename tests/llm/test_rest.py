@@ -5,13 +5,16 @@ import hashlib
 import math
 import random
 import re
+import time
 import zlib
 from collections import Counter
 from urllib.parse import urlparse
 
 import duckdb
 import numpy as np
+import pyarrow as pa
 import pytest
+import zstandard
 from pyspark.sql import functions as F
 
 from textquarry.llm import decontam, langid, quality_llr, queries, sharding, warc
@@ -157,6 +160,35 @@ def test_word_numbers_survive_being_forgotten():
             assert words.hashes[numbers].tolist() == [zlib.crc32(w.lower()) for w in found]
 
 
+def test_new_words_cost_the_same_however_many_there_are():
+    words = quality_llr.Words()
+    words.of([b"w%d" % i for i in range(300_000)])
+    start = time.process_time()
+    for i in range(20_000):
+        number = words.of([b"w7", b"New%d" % i])
+        assert words.hashes[number].tolist() == [zlib.crc32(b"w7"), zlib.crc32(b"new%d" % i)]
+    assert time.process_time() - start < 2
+
+
+@pytest.mark.parametrize("top", [4, 1 << 21, (1 << 21) + 4, 1 << 40])
+def test_repeated_windows_of_any_numbers(top):
+    r = random.Random(top)
+    for n in [*range(12), 60]:
+        ids = [top - 1 - r.randrange(4) for _ in range(n)]
+        often = Counter(zip(ids, ids[1:], ids[2:], strict=False))
+        covered = {i + k for i in range(n - 2) if often[tuple(ids[i : i + 3])] > 1 for k in range(3)}
+        assert quality_llr.repeated(np.array(ids, np.int64)) == len(covered)
+
+
+def test_counts_of_a_task_at_any_bound(monkeypatch):
+    pack = zstandard.ZstdCompressor().compress
+    batch = pa.RecordBatch.from_arrays([pa.array([pack(b"a b a"), None, pack(b"c a b"), pack(b" "), pack(b"d")]), pa.array([True, None, True, True, None]), pa.array([False, True, True, False, True])], ["packed", "trusted", "held"])
+    for bound in (1, 6, 1 << 20):
+        monkeypatch.setattr(quality_llr, "COUNTED_AT_ONCE", bound)
+        (got,) = quality_llr._count(iter([batch, batch]), 1024)
+        assert [sum(got[c].to_pylist()) for c in ("raw", "trusted", "apart")] == [22, 20, 10]
+
+
 def slow_phrases(sample, line):
     """Greedy longest matches of line in sample, by search."""
     n = at = 0

@@ -15,6 +15,7 @@ from __future__ import annotations
 import zlib
 from collections.abc import Iterator
 from functools import partial
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -31,27 +32,39 @@ THRESHOLD = -45_000
 BUCKET_BYTES, FEWEST, MOST = 1 << 10, 1 << 10, 1 << 16
 #: One in so many ids is left out of the trusted counts for the threshold; the threshold's step.
 HELD_OUT, STEP = 3, 1000
+#: N-grams that are counted at once; bounds the memory of a worker.
+COUNTED_AT_ONCE = 1 << 20
 BLANK_CHARS, SYMBOLS = " \t\n\v\f\r", "#*$%&|<>"
 MIN_WORDS, MAX_REPEAT_PERCENT = 50, 50
 
 
+class _Numbers(dict):
+    """Each new key gets the next number."""
+
+    def __missing__(self, key: bytes) -> int:
+        n = self[key] = len(self)
+        return n
+
+
 class Words:
     """Numbers and hashes of words; forgotten when they become too many."""
 
     def __init__(self, most: int = 400_000):
-        self.most, self.number, self.hashes = most, {}, np.zeros(0, np.uint64)
+        self.most, self.number, self.hashes = most, _Numbers(), np.zeros(1024, np.uint64)
 
     def of(self, words: list[bytes]) -> np.ndarray:
-        """The words' numbers; self.hashes has the hash of each."""
+        """The words' numbers; self.hashes has the hash of each, and room for more."""
         number = self.number
         if len(number) > self.most:
             number.clear()
-            self.hashes = np.zeros(0, np.uint64)
+            self.hashes = np.zeros(1024, np.uint64)
         have = len(number)
-        out = np.fromiter((number.setdefault(w, len(number)) for w in words), np.int64, len(words))
-        if len(number) > have:
-            fresh = list(number)[have:] if have == 0 else [w for w in dict.fromkeys(words) if number[w] >= have]
-            self.hashes = np.concatenate((self.hashes, np.fromiter((zlib.crc32(w.lower()) for w in fresh), np.uint64, len(fresh))))
+        out = np.fromiter(map(number.__getitem__, words), np.int64, len(words))
+        if (now := len(number)) > have:
+            if now > len(self.hashes):
+                self.hashes = np.concatenate((self.hashes[:have], np.zeros(2 * now - have, np.uint64)))
+            fresh = islice(reversed(number), now - have)
+            self.hashes[have:now] = np.fromiter(map(zlib.crc32, map(bytes.lower, fresh)), np.uint64, now - have)[::-1]
         return out
 
 
@@ -62,20 +75,35 @@ def buckets(h: np.ndarray, n: int = BUCKETS) -> np.ndarray:
     return (np.concatenate((one, two)) >> np.uint64(40)) % np.uint64(n)
 
 
+def _covered(key: np.ndarray, again: np.ndarray, n: int, size: int) -> int:
+    """Words of n in windows whose key is one of the sorted ``again``."""
+    if not len(again):
+        return 0
+    twice = np.flatnonzero(again[np.minimum(np.searchsorted(again, key), len(again) - 1)] == key)
+    covered = np.zeros(n, bool)
+    for k in range(size):
+        covered[twice + k] = True
+    return int(covered.sum())
+
+
 def repeated(ids: np.ndarray, size: int = 3) -> int:
     """Words in windows of ``size`` that are found twice or more."""
     n = len(ids) - size + 1
     if n < 2:
         return 0
+    bits = 63 // size
+    if int(ids.max()) >> bits == 0:  # a window's numbers fit one integer
+        key = ids[:n].astype(np.int64)
+        for k in range(1, size):
+            key = key << bits | ids[k : n + k]
+        ranked = np.sort(key)
+        again = ranked[1:][ranked[1:] == ranked[:-1]]
+        return _covered(key, again, len(ids), size)
     _, dense = np.unique(ids, return_inverse=True)
     key = dense[:n].astype(np.int64)
     for k in range(1, size):  # exact: window numbers are made dense again before they could overflow
         _, key = np.unique(key * (dense.max() + 1) + dense[k : n + k], return_inverse=True)
-    twice = np.flatnonzero(np.bincount(key)[key] > 1)
-    covered = np.zeros(len(ids), bool)
-    for k in range(size):
-        covered[twice + k] = True
-    return int(covered.sum())
+    return _covered(key, np.flatnonzero(np.bincount(key) > 1), len(ids), size)
 
 
 def base(text: str, words: list[bytes], ids: np.ndarray) -> tuple[int, int, int, int, int]:
@@ -93,17 +121,24 @@ def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _count(batches: Iterator[pa.RecordBatch], n_buckets: int) -> Iterator[pa.RecordBatch]:
     """(packed, trusted, held) -> counts of this task by bucket: of all, of the trusted, and of the trusted that are held out."""
     words, unpack = Words(), zstandard.ZstdDecompressor()
-    raw, trusted, apart = (np.zeros(n_buckets, np.int64) for _ in range(3))
+    # By kind: neither, trusted, trusted and held out. Counted once there are many.
+    kinds = np.zeros(3 * n_buckets, np.int64)
+    found, size = [], 0
     for batch in batches:
         for packed, good, held in zip(batch.column(0), batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
             if packed.is_valid:
                 ids = words.of(unpack.decompress(packed.as_py()).split())
-                n = np.bincount(buckets(words.hashes[ids], n_buckets), minlength=n_buckets) if len(ids) else 0
-                raw += n
-                if good:
-                    trusted += n
-                    if held:
-                        apart += n
+                if len(ids):
+                    found.append(buckets(words.hashes[ids], n_buckets).astype(np.int32) + np.int32(n_buckets * (2 if good and held else 1 if good else 0)))
+                    size += len(found[-1])
+                    if size >= COUNTED_AT_ONCE:
+                        kinds += np.bincount(np.concatenate(found), minlength=len(kinds))
+                        found, size = [], 0
+    if found:
+        kinds += np.bincount(np.concatenate(found), minlength=len(kinds))
+    rest, kept, apart = kinds.reshape(3, n_buckets)
+    trusted = kept + apart
+    raw = rest + trusted
     used = np.flatnonzero(raw)
     yield pa.RecordBatch.from_arrays([pa.array(used.astype(np.int32)), pa.array(raw[used]), pa.array(trusted[used]), pa.array(apart[used])], ["bucket", "raw", "trusted", "apart"])
 
